@@ -29,6 +29,7 @@ from queryset.features import (
 from queryset.labels import DANP_STEPS, END, FROM, NN_STEPS, PER_DAY, START, STORE_COLS
 from queryset.population import KNOWN_STEPS, NET_NEW_STEPS, SNAPSHOTS
 from tamarind.operators.snapshot import latest_load
+from tamarind.session import cut_lineage
 from tamarind.plans import assembly, geography, labels, requests, scoring_features, search
 
 HISTORY = dt.date(1996, 1, 1)
@@ -269,6 +270,7 @@ def scoring_inputs(t, segment: str, aov: bool):
         rows = scoring_features.nn_features(t, DAY, aov)
     else:
         rows = scoring_features.danp_features(t, DAY, aov, HISTORY, SNAPSHOTS)
+    rows = cut_lineage(rows, "feature-rows")
     return rows, search.daily_table(t, rows, [DAY])
 
 

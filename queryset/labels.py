@@ -6,7 +6,6 @@ import datetime as dt
 
 from queryset.base import query
 from queryset.features import (
-    ACTS_DANP,  # noqa: F401
     AGE_SQL,
     CORE,
     DEA,
@@ -26,7 +25,7 @@ from tamarind.plans import labels, requests
 START, END = "1998-04-01", "1999-03-31"
 FROM = dt.date(1997, 1, 1)
 AS_OF = "1998-06-08"
-SINCE = dt.date(1996, 1, 1)
+SINCE = dt.date(1998, 1, 1)  # of the first-order jobs
 
 NOT_FRAUD = "(store_id IS NULL OR store_id NOT IN (SELECT store_id FROM {stores} WHERE last_deactivation_reason = 'Fraudulent Store'))"
 
@@ -155,7 +154,7 @@ def _(t):
 LOCAL_DAY = "CAST(timezone(timezone, timezone('UTC', CAST(created_at AS TIMESTAMP))) AS DATE)"
 FIRST_ORDERS = f"""SELECT store_id, starting_point_id, min({LOCAL_DAY}) AS first_order_date,
  min({LOCAL_DAY}) FILTER (WHERE is_partner) AS first_partner_order_date
-FROM core WHERE created_at > TIMESTAMP '1996-01-01 00:00:00' GROUP BY 1, 2"""
+FROM core WHERE created_at > TIMESTAMP '1998-01-01 00:00:00' GROUP BY 1, 2"""
 
 
 @query("k30_first_orders", FIRST_ORDERS, core=CORE)
@@ -170,10 +169,7 @@ FROM (SELECT DISTINCT w.store_id, mx.id AS match_id, coalesce(mx.restaurant_name
         w.sp_id AS starting_point_id, w.sub_id AS submarket_id
       FROM week_ago w JOIN {registry} mx ON mx.store_id = w.store_id) p
 LEFT JOIN once o ON o.store_id = p.store_id JOIN first_orders f ON f.store_id = p.store_id
-WHERE first_order_date >= first_partner_order_date - %d AND coalesce(o.activation_date, first_partner_order_date) IS NOT NULL"""
-# A given store's first order is seldom a partner order; the job itself asks
-# for the same day.
-NN_FIRST = NN_ACTS % 0
+WHERE first_order_date = first_partner_order_date AND coalesce(o.activation_date, first_partner_order_date) IS NOT NULL"""
 FIFTH_NN = f"""SELECT f.match_id, mx.vendor_1_id, f.store_id, f.restaurant_name, f.starting_point_id, f.submarket_id,
  CASE WHEN mx.vendor_1_id IS NULL THEN 'not_requestable' ELSE 'requestable' END AS requestable, f.first_partner_order_date,
  f.store_activation_date, month(f.store_activation_date) AS activation_month, year(f.store_activation_date) AS activation_year,
@@ -187,7 +183,7 @@ FROM acts f LEFT JOIN {{registry}} mx ON mx.id = f.match_id JOIN (
   FROM acts a LEFT JOIN core ON core.store_id = a.store_id AND active_date >= store_activation_date GROUP BY 1, 2, 3) s
  ON s.store_id = f.store_id
 WHERE {NOT_FRAUD.replace('store_id IS NULL', 'f.store_id IS NULL').replace('store_id NOT IN', 'f.store_id NOT IN')}"""
-FIFTH_STEPS = dict(core=CORE, once=ONCE, first_orders=FIRST_ORDERS, week_ago=WEEK_AGO, acts=NN_FIRST)
+FIFTH_STEPS = dict(core=CORE, once=ONCE, first_orders=FIRST_ORDERS, week_ago=WEEK_AGO, acts=NN_ACTS)
 
 
 @query("k30_nn_activations", "SELECT * FROM acts", **FIFTH_STEPS)
@@ -222,7 +218,7 @@ WHERE o.activation_date IS NOT NULL AND DATE '{AS_OF}' - 8 - o.activation_date >
 
 @query(
     "k31_danp_fifth_month", FIFTH_DANP,
-    core=CORE, once=ONCE, week_ago=WEEK_AGO, np=nonpartner_sql("1996-01-01"),
+    core=CORE, once=ONCE, week_ago=WEEK_AGO, np=nonpartner_sql("1998-01-01"),
 )
 def _(t):
     return labels.danp_fifth_month(t, AS_OF, SINCE)

@@ -87,9 +87,9 @@ SELECT CAST(l.l_shipdate AS DATE) AS date_stamp, l.l_suppkey AS store_id, max(s.
        CAST(floor(l.l_suppkey / 5.0) AS BIGINT) AS business_id,
        l.l_suppkey % 25 AS sp_id, concat('SP ', CAST(l.l_suppkey % 25 AS STRING)) AS sp_name,
        CAST(max(s.s_nationkey) AS BIGINT) AS sub_id, concat('SUB ', CAST(max(s.s_nationkey) AS STRING)) AS sub_name,
-       max(CASE WHEN l.l_linenumber <= 4 THEN 1 ELSE 0 END) AS active_bop,
+       max(CASE WHEN l.l_linenumber <= 6 THEN 1 ELSE 0 END) AS active_bop,
        max(CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END) AS active_eop,
-       max(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS partner_bop,
+       max(CASE WHEN l.l_returnflag <> 'N' THEN 1 ELSE 0 END) AS partner_bop,
        max(CASE WHEN l.l_returnflag = 'A' THEN 1 ELSE 0 END) AS partner_eop
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey GROUP BY l.l_suppkey, CAST(l.l_shipdate AS DATE)""",
     "store_deactivations": """

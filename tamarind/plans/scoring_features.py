@@ -7,11 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarind.functions.exprs import DateLike, as_date, day_diff, plus_days
+from tamarind.functions.exprs import DateLike, as_date, day_diff, plus_days, safe_ratio
 from tamarind.plans import business, geography, growth, requests, search, store_stats
 from tamarind.plans.labels import HISTORY_FROM, requestable
 from tamarind.plans.population import SNAPSHOTS_AFTER, known_merchants, net_new_merchants
-from tamarind.functions.exprs import safe_ratio
+from tamarind.session import cut_lineage
 from tamarind.sources.tables import Tables
 
 MAX_GAP_DAYS = 364
@@ -30,7 +30,8 @@ def danp_features(
     order value, requires an active day and leaves out the country.
     """
     dea, act = "most_recent_deactivation_timestamp", "activation_date"
-    people = known_merchants(tables, date, snapshots_after)
+    # Every feature job below starts from the population: find it once.
+    people = cut_lineage(known_merchants(tables, date, snapshots_after), "known-merchants")
     days = None if aov else store_stats.HISTORY_DAYS
     stats = store_stats.before_deactivation(tables, people, at=dea, history_days=days, with_aov=aov)
     firm = business.business_before(tables, people, act, None if aov else business.HISTORY_DAYS)
@@ -104,7 +105,7 @@ def danp_features(
 
 def nn_features(tables: Tables, date: DateLike, aov: bool = False) -> DataFrame:
     """Features of net-new merchants for one test date."""
-    people = net_new_merchants(tables, date)
+    people = cut_lineage(net_new_merchants(tables, date), "net-new-merchants")
     yesterday = plus_days(F.lit(as_date(date)), -1)
     asked = requests.scoring_requests(tables, people.select("match_id").distinct(), [date]).drop("create_date")
     searched = search.mean_daily_count(tables, [date], "nn").drop("create_date")

@@ -9,6 +9,7 @@ from tamarind.functions.exprs import dollars, flag, in_days, is_false, is_true,
 from tamarind.operators.asof import pair_in_window
 from tamarind.operators.keyed import spread_join, with_defaults
 from tamarind.operators.rollup import weighted_medians
+from tamarind.session import cut_lineage
 from tamarind.sources.tables import Tables
 
 HISTORY_DAYS = 180
@@ -54,7 +55,9 @@ def before_deactivation(
         F.col("store_id").alias(key), "active_date", "delivery_id", "subtotal", "fee", "commission_rate",
         "is_partner", "is_first_order",
     )
-    pairs = _pairs(anchors.select(*keys).distinct(), core, key, at, history_days)
+    # Four groupings read the pairs; they are written once instead of scanning
+    # the deliveries four times.
+    pairs = cut_lineage(_pairs(anchors.select(*keys).distinct(), core, key, at, history_days), "store-orders")
     first, partner = is_true("is_first_order"), is_true("is_partner")
 
     # Orders and fees, by delivery.
