@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from queryset import assembly, features, labels, population  # noqa: F401
+from queryset import assembly, evaluate, features, labels, population, ranking  # noqa: F401
