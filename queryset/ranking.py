@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from queryset.base import DAY, DAYS, query
 from queryset.features import CORE, DATES, chain_sql
 from tamarind.plans import enterprise, ranking
+from tamarind.session import cut_lineage
 
 PRED_DAY = "1998-05-31"
 
@@ -39,18 +42,21 @@ FULL_STEPS = dict(deduped=DEDUPED, danp=SHIFTED_DANP, nn=SHIFTED_NN, full_pred=F
 
 
 def predictions_full(t):
-    from pyspark.sql import functions as F
-
     day = F.lit(PRED_DAY).cast("date")
 
     def moved(df, col):
         by = (1 + F.coalesce("store_id", F.lit(0)) % 2).cast("int")
         return df.withColumn(col, F.date_add(day, by))
 
-    return ranking.predictions_with_actuals(
+    full = ranking.predictions_with_actuals(
         t, ranking.dedupe_predictions(t.predictions), PRED_DAY,
         moved(t.label_danp, "reactivation_timestamp"), moved(t.label_nn, "store_activation_date"), factor=1.1,
     )
+    return full
+
+
+def market(t, full, value="pred"):
+    return cut_lineage(ranking.market_size(t, full, DAY, PRED_DAY, value), "market-size")
 
 
 @query("k38_predictions_with_actuals", "SELECT * FROM full_pred", **FULL_STEPS)
@@ -166,12 +172,12 @@ FROM tam {where}"""
 
 @query("k43_decile_rank", decile_sql(), **tam_steps("pred"))
 def _(t):
-    return ranking.decile_rank(ranking.market_size(t, predictions_full(t), DAY, PRED_DAY))
+    return ranking.decile_rank(market(t, predictions_full(t)))
 
 
 @query("k43_decile_rank_without_partners", decile_sql("WHERE model_id <> 'live sales'"), **tam_steps("pred"))
 def _(t):
-    return ranking.decile_rank(ranking.market_size(t, predictions_full(t), DAY, PRED_DAY), include_partner=False)
+    return ranking.decile_rank(market(t, predictions_full(t)), include_partner=False)
 
 
 COMBINED_STEPS = dict(
@@ -191,9 +197,9 @@ WHERE f.activation_date_actual IS NOT NULL"""
 
 @query("k44_combined_ranks", COMBINED, **COMBINED_STEPS)
 def _(t):
-    full = predictions_full(t)
-    predicted = ranking.decile_rank(ranking.market_size(t, full, DAY, PRED_DAY, "pred"))
-    actual = ranking.decile_rank(ranking.market_size(t, full, DAY, PRED_DAY, "actual"))
+    full = cut_lineage(predictions_full(t), "predictions-full")
+    predicted = ranking.decile_rank(market(t, full, "pred"))
+    actual = ranking.decile_rank(market(t, full, "actual"))
     return ranking.combine_ranks(actual, predicted, full)
 
 

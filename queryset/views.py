@@ -17,6 +17,13 @@ GIVEN = (
     "benchmark labels conversations"
 ).split()
 
+
+
+def _loads(text: str, n: int) -> str:
+    """The text once per load, ``#`` standing for its number."""
+    return "\nUNION ALL\n".join(text.replace("#", str(i)) for i in range(n))
+
+
 VIEWS: dict[str, str] = {
     "deliveries": """
 SELECT l.l_orderkey AS delivery_id, l.l_suppkey AS store_id,
@@ -156,7 +163,7 @@ SELECT concat('c', CAST(p_partkey AS STRING)), CAST(NULL AS BIGINT), CAST(p_size
        p_size % 6, p_size % 8, p_partkey % 4, p_partkey % 3, p_size % 3, p_size % 2, p_partkey % 5, p_size % 5,
        p_partkey % 6, p_partkey % 7, p_size % 9
 FROM {part} WHERE p_partkey % 4 <> 3""",
-    "label_nn": """
+    "label_nn": _loads("""
 SELECT concat('s', CAST(s.s_suppkey AS STRING)) AS match_id,
        CASE WHEN s.s_suppkey % 15 = 9 THEN NULL ELSE s.s_suppkey END AS store_id,
        concat('CHAIN ', CAST(s.s_suppkey % 12 AS STRING)) AS restaurant_name,
@@ -165,9 +172,9 @@ SELECT concat('s', CAST(s.s_suppkey AS STRING)) AS match_id,
        DATE '1998-03-01' + CAST((s.s_suppkey * 13) % 150 AS INT) AS store_activation_date,
        DATE '1998-03-01' + CAST((s.s_suppkey * 13) % 150 AS INT) AS first_partner_order_date,
        CASE WHEN s.s_suppkey % 6 = 1 THEN NULL ELSE s.s_acctbal END AS actual,
-       CASE v.r_regionkey WHEN 0 THEN DATE '1998-05-01' ELSE DATE '1998-06-15' END AS create_date
-FROM {supplier} s CROSS JOIN {region} v WHERE v.r_regionkey < 2 AND (s.s_suppkey + v.r_regionkey) % 4 <> 0""",
-    "label_danp": """
+       DATE '1998-05-01' + 45 * # AS create_date
+FROM {supplier} s WHERE (s.s_suppkey + #) % 4 <> 0""", 2),
+    "label_danp": _loads("""
 SELECT s.s_suppkey AS store_id, concat('s', CAST(s.s_suppkey AS STRING)) AS match_id,
        CASE WHEN s.s_suppkey % 3 = 0 THEN NULL ELSE concat('v1-', CAST(s.s_suppkey AS STRING)) END AS vendor_1_id,
        s.s_name AS store_name, concat('CHAIN ', CAST(s.s_suppkey % 12 AS STRING)) AS external_store_name,
@@ -182,8 +189,8 @@ SELECT s.s_suppkey AS store_id, concat('s', CAST(s.s_suppkey AS STRING)) AS matc
        CAST(year(DATE '1997-11-01' + CAST((s.s_suppkey * 29) % 200 AS INT)) AS BIGINT) AS deactivation_year,
        s.s_suppkey % 60 AS num_days_deactive, s.s_suppkey % 90 AS num_days_since_reactivation,
        CASE WHEN s.s_suppkey % 8 = 1 THEN NULL ELSE s.s_acctbal + 10 END AS actual,
-       CASE v.r_regionkey WHEN 0 THEN DATE '1998-05-01' ELSE DATE '1998-06-15' END AS create_date
-FROM {supplier} s CROSS JOIN {region} v WHERE v.r_regionkey < 2 AND (s.s_suppkey + v.r_regionkey) % 5 <> 0""",
+       DATE '1998-05-01' + 45 * # AS create_date
+FROM {supplier} s WHERE (s.s_suppkey + #) % 5 <> 0""", 2),
     "prior_danp_inputs": """
 SELECT CASE WHEN c_custkey % 8 = 2 THEN NULL ELSE concat('c', CAST(c_custkey AS STRING)) END AS match_id
 FROM {customer} WHERE c_custkey % 4 = 2""",
@@ -212,18 +219,18 @@ SELECT match_id, store_id, merchant_type, reactivation_timestamp, most_recent_de
        abs(actual) / 100.0 AS aov_first_148_days,
        CASE WHEN store_id % 11 = 0 THEN -1.0 ELSE actual END AS total_subtotal_first_120_148_days, create_date
 FROM {label_danp}""",
-    "predictions": """
-SELECT concat('c', CAST(c.c_custkey AS STRING)) AS match_id, DATE '1998-05-31' + CAST(v.r_regionkey AS INT) AS activation_date,
-       c.c_acctbal + v.r_regionkey AS pred, CASE c.c_custkey % 2 WHEN 0 THEN 'nn_9_Staging' ELSE 'nn_10_Staging' END AS model,
-       '9' AS data_preprocess_model_version, CASE c.c_custkey % 2 WHEN 0 THEN '9' ELSE '10' END AS ml_model_version,
-       '1' AS bias_adj_model_version, DATE '1998-05-31' + CAST(v.r_regionkey AS INT) AS create_date
-FROM {customer} c CROSS JOIN {region} v WHERE v.r_regionkey < 2
-UNION ALL
-SELECT CASE WHEN s.s_suppkey % 33 = 32 THEN NULL ELSE concat('s', CAST(s.s_suppkey AS STRING)) END,
-       DATE '1998-05-31' + CAST(v.r_regionkey % 2 AS INT), s.s_acctbal * (v.r_regionkey + 1),
-       CASE WHEN v.r_regionkey < 2 THEN 'ac_9_Staging' ELSE 'da_10_Staging' END, '9',
-       CASE WHEN v.r_regionkey < 2 THEN '9' ELSE '10' END, '1', DATE '1998-05-31' + CAST(v.r_regionkey % 2 AS INT)
-FROM {supplier} s CROSS JOIN {region} v WHERE v.r_regionkey < 4""",
+    "predictions": _loads("""
+SELECT concat('c', CAST(c_custkey AS STRING)) AS match_id, DATE '1998-05-31' + # AS activation_date, c_acctbal + # AS pred,
+       CASE c_custkey % 2 WHEN 0 THEN 'nn_9_Staging' ELSE 'nn_10_Staging' END AS model,
+       '9' AS data_preprocess_model_version, CASE c_custkey % 2 WHEN 0 THEN '9' ELSE '10' END AS ml_model_version,
+       '1' AS bias_adj_model_version, DATE '1998-05-31' + # AS create_date
+FROM {customer}""", 2) + "\nUNION ALL\n" + _loads("""
+SELECT CASE WHEN s_suppkey % 33 = 32 THEN NULL ELSE concat('s', CAST(s_suppkey AS STRING)) END AS match_id,
+       DATE '1998-05-31' + # % 2 AS activation_date, s_acctbal * (# + 1) AS pred,
+       CASE WHEN # < 2 THEN 'ac_9_Staging' ELSE 'da_10_Staging' END AS model, '9' AS data_preprocess_model_version,
+       CASE WHEN # < 2 THEN '9' ELSE '10' END AS ml_model_version, '1' AS bias_adj_model_version,
+       DATE '1998-05-31' + # % 2 AS create_date
+FROM {supplier}""", 4),
     "decile_metrics": """
 SELECT match_id, pred_date, tam_value_pred, tam_value_actual,
        CASE WHEN match_id = 's4' THEN NULL ELSE ntile(10) OVER (PARTITION BY pred_date, grp ORDER BY tam_value_pred DESC, match_id) END AS decile_rank_pred,
