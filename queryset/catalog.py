@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from queryset import assembly, basics, evaluate, features, labels, population, ranking  # noqa: F401
+from queryset import assembly, basics, evaluate, features, labels, models, population, ranking, sources  # noqa: F401

@@ -22,7 +22,7 @@ from queryset.features import (
 )
 from tamarind.plans import labels, requests
 
-START, END = "1998-04-01", "1999-03-31"
+START, END = "1998-01-01", "1999-03-31"
 FROM = dt.date(1997, 1, 1)
 AS_OF = "1998-06-08"
 SINCE = dt.date(1998, 1, 1)  # of the first-order jobs

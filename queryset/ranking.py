@@ -41,18 +41,20 @@ WHERE p.create_date = DATE '{PRED_DAY}'"""
 FULL_STEPS = dict(deduped=DEDUPED, danp=SHIFTED_DANP, nn=SHIFTED_NN, full_pred=FULL)
 
 
-def predictions_full(t):
+def shifted_labels(t):
     day = F.lit(PRED_DAY).cast("date")
 
     def moved(df, col):
         by = (1 + F.coalesce("store_id", F.lit(0)) % 2).cast("int")
         return df.withColumn(col, F.date_add(day, by))
 
-    full = ranking.predictions_with_actuals(
-        t, ranking.dedupe_predictions(t.predictions), PRED_DAY,
-        moved(t.label_danp, "reactivation_timestamp"), moved(t.label_nn, "store_activation_date"), factor=1.1,
-    )
-    return full
+    return moved(t.label_danp, "reactivation_timestamp"), moved(t.label_nn, "store_activation_date")
+
+
+def predictions_full(t):
+    danp, nn = shifted_labels(t)
+    rows = ranking.dedupe_predictions(t.predictions)
+    return ranking.predictions_with_actuals(t, rows, PRED_DAY, danp, nn, factor=1.1)
 
 
 def market(t, full, value="pred"):

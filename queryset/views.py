@@ -148,7 +148,7 @@ SELECT concat('s', CAST(CAST(floor(p_partkey / 20.0) AS BIGINT) AS STRING)) AS m
        CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_size / 10.0 END AS rating_factus,
        p_retailprice AS sales_chdus, CAST(p_size % 4 AS DOUBLE) AS stars_al,
        CAST(p_partkey % 9 AS DOUBLE) AS reviews_al,
-       CASE p_partkey % 160 WHEN 7 THEN 2 WHEN 8 THEN 1 ELSE 0 END AS cohort_encoded, p_brand AS cohort,
+       CASE p_partkey % 80 WHEN 7 THEN 2 WHEN 8 THEN 1 ELSE 0 END AS cohort_encoded, p_brand AS cohort,
        p_size % 6 AS sales_chd_agg_encoded, p_size % 8 AS years_in_business_encoded,
        p_partkey % 4 AS price_yelp_encoded, p_partkey % 3 AS price_mes_encoded, p_size % 3 AS price_factus_encoded,
        p_size % 2 AS price_al_encoded, p_partkey % 5 AS number_of_units_encoded, p_size % 5 AS dayparts_encoded,
@@ -169,8 +169,8 @@ SELECT concat('s', CAST(s.s_suppkey AS STRING)) AS match_id,
        concat('CHAIN ', CAST(s.s_suppkey % 12 AS STRING)) AS restaurant_name,
        CASE WHEN s.s_suppkey % 3 = 0 THEN NULL ELSE concat('v1-', CAST(s.s_suppkey AS STRING)) END AS vendor_1_id,
        s.s_suppkey % 25 AS starting_point_id, CAST(s.s_nationkey AS BIGINT) AS submarket_id,
-       DATE '1998-03-01' + CAST((s.s_suppkey * 13) % 150 AS INT) AS store_activation_date,
-       DATE '1998-03-01' + CAST((s.s_suppkey * 13) % 150 AS INT) AS first_partner_order_date,
+       DATE '1997-12-01' + CAST((s.s_suppkey * 13) % 240 AS INT) AS store_activation_date,
+       DATE '1997-12-01' + CAST((s.s_suppkey * 13) % 240 AS INT) AS first_partner_order_date,
        CASE WHEN s.s_suppkey % 6 = 1 THEN NULL ELSE s.s_acctbal END AS actual,
        DATE '1998-05-01' + 45 * # AS create_date
 FROM {supplier} s WHERE (s.s_suppkey + #) % 4 <> 0""", 2),

@@ -29,11 +29,10 @@ class FittedSegment:
 def learner(spec: SegmentSpec, validate: bool = False):
     """A regressor, or a classifier where the label is 0 or 1."""
     settings = dict(spec.trees)
-    kind = GBTClassifier if spec.binary else GBTRegressor
-    out = kind(featuresCol=FEATURES, labelCol=spec.label, seed=SEED, cacheNodeIds=True, checkpointInterval=10, **settings)
     if validate:
-        out = out.setValidationIndicatorCol(_VALIDATE).setValidationTol(STOP_TOLERANCE)
-    return out
+        settings |= dict(validationIndicatorCol=_VALIDATE, validationTol=STOP_TOLERANCE)
+    kind = GBTClassifier if spec.binary else GBTRegressor
+    return kind(featuresCol=FEATURES, labelCol=spec.label, seed=SEED, cacheNodeIds=True, checkpointInterval=10, **settings)
 
 
 def _prepared(df: DataFrame, spec: SegmentSpec) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 from tamarind.functions.exprs import DateLike, as_date, checked_name
 from tamarind.plans import enterprise, geography, scoring_features, search
+from tamarind.plans.labels import HISTORY_FROM
+from tamarind.plans.population import SNAPSHOTS_AFTER
 from tamarind.sources.tables import Tables, normalise
 
 BATCH_ROWS = 1_000_000
@@ -127,17 +129,26 @@ def adjustment_backfill(predictions: DataFrame) -> Builder:
     return build
 
 
-FEATURES: Mapping[str, Builder] = {
-    "submarket_week": lambda t, d: geography.week_stats(t, d, "submarket"),
-    "starting_point_week": lambda t, d: geography.week_stats(t, d, "starting_point"),
-    "enterprise_starting_point": lambda t, d: _dated(enterprise.chain_sales(t, d, "starting_point")),
-    "enterprise_submarket": lambda t, d: _dated(enterprise.chain_sales(t, d, "submarket")),
-    "enterprise_global": lambda t, d: _dated(enterprise.chain_sales(t, d, "global")),
-    "danp": _each_date(lambda t, d: scoring_features.danp_features(t, d)),
-    "nn": _each_date(lambda t, d: scoring_features.nn_features(t, d)),
-    "aov_danp": _each_date(lambda t, d: scoring_features.danp_features(t, d, aov=True)),
-    "aov_nn": _each_date(lambda t, d: scoring_features.nn_features(t, d, aov=True)),
-}
+def feature_builders(
+    history_from: DateLike = HISTORY_FROM, snapshots_after: DateLike = SNAPSHOTS_AFTER
+) -> Mapping[str, Builder]:
+    """The dated feature tables by name."""
+    since, after = as_date(history_from), as_date(snapshots_after)
+
+    def danp(aov: bool) -> Builder:
+        return _each_date(lambda t, d: scoring_features.danp_features(t, d, aov, since, after))
+
+    return {
+        "submarket_week": lambda t, d: geography.week_stats(t, d, "submarket"),
+        "starting_point_week": lambda t, d: geography.week_stats(t, d, "starting_point"),
+        "enterprise_starting_point": lambda t, d: _dated(enterprise.chain_sales(t, d, "starting_point")),
+        "enterprise_submarket": lambda t, d: _dated(enterprise.chain_sales(t, d, "submarket")),
+        "enterprise_global": lambda t, d: _dated(enterprise.chain_sales(t, d, "global")),
+        "danp": danp(False),
+        "nn": _each_date(lambda t, d: scoring_features.nn_features(t, d)),
+        "aov_danp": danp(True),
+        "aov_nn": _each_date(lambda t, d: scoring_features.nn_features(t, d, aov=True)),
+    }
 
 
 def backfill(
@@ -145,7 +156,7 @@ def backfill(
 ) -> DataFrame:
     """Build a feature for all dates in one job and replace those partitions."""
     wanted = sorted({as_date(d) for d in dates})
-    build = FEATURES[feature] if isinstance(feature, str) else feature
+    build = feature_builders()[feature] if isinstance(feature, str) else feature
     rows = build(tables, wanted)
     replace_partitions(rows, path)
     return read_dated(rows.sparkSession, path, rows)
