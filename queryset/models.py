@@ -270,7 +270,11 @@ def _(t):
     specs = {"da": segments.spec("da", **SMALL)}
     cuts = ("1998-06-30", "1998-10-31", "1999-03-31")
     train.train_run(reg, {"da": cut_lineage(rows, "training")}, specs, cuts, "_test")
-    return reg.entries().select("name", "version", "stage", F.col("metrics")["r2"].alias("r2"))
+    found = F.col("metrics")
+    return reg.entries().select(
+        "name", "version", "stage", found["r2"].alias("r2"), found["dev_spearman"].alias("dev_spearman"),
+        found["dev_kendall"].alias("dev_kendall"),
+    )
 
 
 @query("l12_forecast_sales")
@@ -278,7 +282,7 @@ def _(t):
     reg = _registry(t)
     rows = cut_lineage(training_rows(t, "ac"), "training")
     specs = {"ac": segments.spec("ac", **SMALL)}
-    train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test")
+    train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test", report=False)
     reg.set_stage("ac_ml_model_test", 1, registry.PRODUCTION)
     return score.forecast(reg, rows, "ac", suffix="_test", pinned=1)
 
@@ -287,7 +291,7 @@ def _(t):
 def _(t):
     reg = _registry(t)
     rows = {s: cut_lineage(training_rows(t, s), "training") for s in segments.SEGMENTS}
-    train.train_cohort(reg, rows, COHORT_DAY, "_test", **SMALL)
+    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False, **SMALL)
     return reg.entries().select("name", "version", "stage", F.col("metrics")["bias"].alias("bias"))
 
 
@@ -297,14 +301,14 @@ for _version in ("v0", "v2"):
     def _(t, version=_version):
         reg = _registry(t)
         rows = {s: cut_lineage(aov_rows(t, s, version), "training") for s in ("nn", "da")}
-        return train.train_aov(reg, rows, AOV_DAY, version, "_test", **SMALL)
+        return train.train_aov(reg, rows, AOV_DAY, version, "_test", report=False, **SMALL)
 
 
 @query("l15_predictions_by_cohort")
 def _(t):
     reg = _registry(t)
     rows = {s: cut_lineage(training_rows(t, s), "training") for s in segments.SEGMENTS}
-    train.train_cohort(reg, rows, COHORT_DAY, "_test", **SMALL)
+    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False, **SMALL)
     features = {s: cut_lineage(q_assembly.scoring(t, s), "scoring") for s in segments.SEGMENTS}
     return score.predictions_by_cohort(reg, features, "_test")
 
@@ -313,7 +317,7 @@ def _(t):
 def _(t):
     reg = _registry(t)
     rows = cut_lineage(aov_rows(t, "nn", "v2"), "training")
-    train.train_aov(reg, {"nn": rows}, AOV_DAY, "v2", "_test", **SMALL)
+    train.train_aov(reg, {"nn": rows}, AOV_DAY, "v2", "_test", report=False, **SMALL)
     return score.predictions_aov(reg, {"nn": q_assembly.scoring(t, "nn", "v2")}, "v2", "_test")
 
 
@@ -322,7 +326,7 @@ def _(t):
     reg = _registry(t)
     rows = cut_lineage(training_rows(t, "ac"), "training")
     specs = {"ac": segments.spec("ac", **SMALL)}
-    train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test")
+    train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test", report=False)
     features = cut_lineage(q_assembly.scoring(t, "ac"), "scoring")
 
     def scorer(day):

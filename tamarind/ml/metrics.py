@@ -23,7 +23,7 @@ def error_sums(df: DataFrame, pred: str = "pred", actual: str = "actual") -> Dat
         F.count(F.lit(1)).alias("rows"),
         (ratio(F.sum(p), F.sum(a)) - 1).alias("bias"),
         (1 - ratio(F.sum((a - p) * (a - p)), F.var_pop(a) * F.count(a))).alias("r2"),
-        F.corr(a, p).alias("pearson"),
+        ratio(F.covar_pop(a, p), F.stddev_pop(a) * F.stddev_pop(p)).alias("pearson"),
     )
 
 

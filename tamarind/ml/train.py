@@ -28,21 +28,23 @@ def cut_dates(test_date: DateLike, days: tuple[int, int, int]) -> tuple[dt.date,
 
 def fit_and_validate(
     spec: SegmentSpec, data: DataFrame, cuts: tuple[DateLike, DateLike, DateLike], by_activation: bool = False
-) -> tuple[learners.FittedSegment, DataFrame, dict[str, DataFrame]]:
-    """Fit with early stopping, refit on training and dev rows, predict the
-    test rows. Returns the refitted model, the test predictions and the
-    agreement on the training and dev rows."""
+) -> tuple[learners.FittedSegment, dict[str, DataFrame]]:
+    """Fit with early stopping, refit on training and dev rows.
+
+    Returns the refitted model and predictions: of the first fit on its
+    training and dev rows, of the refitted one on the test rows.
+    """
     data = cut_lineage(data, "training-rows")  # trees read the rows many times
-    train, dev, test = split_by_date(
+    rows, dev, test = split_by_date(
         data, DATE_SPLIT[spec.version], *cuts, activation_col=DATE_ACTIVATION, by_activation=by_activation
     )
-    first = learners.fit_segment(spec, train, dev)
-    seen = {
-        name: metrics.agreement(learners.predict_with_actual(first, rows))
-        for name, rows in (("train", train), ("dev", dev))
+    first = learners.fit_segment(spec, rows, dev)
+    fitted = learners.refit(spec, rows, dev)
+    return fitted, {
+        "train": learners.predict_with_actual(first, rows),
+        "dev": learners.predict_with_actual(first, dev),
+        "test": learners.predict_with_actual(fitted, test),
     }
-    fitted = learners.refit(spec, train, dev)
-    return fitted, learners.predict_with_actual(fitted, test), seen
 
 
 def train_run(
@@ -52,16 +54,25 @@ def train_run(
     cuts: tuple[DateLike, DateLike, DateLike],
     suffix: str = "",
     by_activation: bool = False,
+    report: bool = True,
 ) -> DataFrame:
     """Train one model per segment; register its three parts with the overall
     bias and R squared of the test rows, and move them to Staging. Returns
-    the test predictions."""
+    the test predictions.
+
+    ``report`` also stores the correlations on training, dev and test rows.
+    """
     tested = []
     for segment, data in datasets.items():
-        fitted, test, _ = fit_and_validate(segment_specs[segment], data, cuts, by_activation)
-        test = cut_lineage(test, "test-predictions")
+        fitted, seen = fit_and_validate(segment_specs[segment], data, cuts, by_activation)
+        test = cut_lineage(seen["test"], "test-predictions")
         scores = metrics.error_sums(test).first()
-        logged = {k: scores[k] for k in ("bias", "r2") if scores[k] is not None}
+        logged = {k: scores[k] for k in ("bias", "r2")}
+        if report:
+            for name, rows in {**seen, "test": test}.items():
+                found = metrics.agreement(rows).first()
+                logged |= {f"{name}_{k}": found[k] for k in ("pearson", "spearman", "kendall", "bias")}
+        logged = {k: v for k, v in logged.items() if v is not None}
         parts = {
             "data_preprocess": fitted.preprocess,
             "ml_model": fitted.learner,
@@ -77,14 +88,15 @@ def train_run(
 
 
 def train_cohort(
-    registry: ModelRegistry, datasets: Mapping[str, DataFrame], test_date: DateLike, suffix: str = "", **trees
-) -> DataFrame:
+    registry: ModelRegistry, datasets: Mapping[str, DataFrame], test_date: DateLike, suffix: str = "",
+    report: bool = True, **trees,
+) -> DataFrame:
     """Local and enterprise models of all segments."""
     out = []
     for tag, part in COHORT_SLICES.items():
         sliced = {s: part(datasets[s]) for s in SEGMENTS if s in datasets}
         tested = train_run(
-            registry, sliced, specs("base", **trees), cut_dates(test_date, COHORT_CUTS), tag + suffix, True
+            registry, sliced, specs("base", **trees), cut_dates(test_date, COHORT_CUTS), tag + suffix, True, report
         )
         out.append(tested.withColumn("slice", F.lit(tag.strip("_"))))
     return reduce(DataFrame.unionByName, out)
@@ -92,9 +104,9 @@ def train_cohort(
 
 def train_aov(
     registry: ModelRegistry, datasets: Mapping[str, DataFrame], test_date: DateLike, version: str,
-    suffix: str = "", **trees,
+    suffix: str = "", report: bool = True, **trees,
 ) -> DataFrame:
     """Order-value models of all segments; no cohort slices."""
     return train_run(
-        registry, datasets, specs(version, **trees), cut_dates(test_date, AOV_CUTS), suffix, False
+        registry, datasets, specs(version, **trees), cut_dates(test_date, AOV_CUTS), suffix, False, report
     )
