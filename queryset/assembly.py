@@ -79,12 +79,12 @@ def danp_steps(aov: bool) -> dict[str, str]:
 
 @query("k32_danp_features", "SELECT * FROM danp_rows", **danp_steps(False))
 def _(t):
-    return scoring_features.danp_features(t, DAY, False, HISTORY, SNAPSHOTS)
+    return scoring_features.danp_features(t.written("deliveries"), DAY, False, HISTORY, SNAPSHOTS)
 
 
 @query("k34_aov_danp_features", "SELECT * FROM danp_rows", **danp_steps(True))
 def _(t):
-    return scoring_features.danp_features(t, DAY, True, HISTORY, SNAPSHOTS)
+    return scoring_features.danp_features(t.written("deliveries"), DAY, True, HISTORY, SNAPSHOTS)
 
 
 def nn_sql(aov: bool) -> str:
@@ -145,12 +145,13 @@ CALENDAR = "month(min_active_date) AS sales_month, quarter(min_active_date) AS s
 
 
 def nn_training(t):
+    t = t.written("deliveries")
     rows = labels.nn_monthly_label(t, START, END, FROM)
-    anchors = latest_load(t.label_nn).select("store_activation_date").distinct()
-    days = sorted({r[0] for r in anchors.collect()})  # a few hundred dates at most
-    return assembly.training_set(
-        t, "nn", rows, geography.week_stats(t, days, "submarket"), geography.week_stats(t, days, "starting_point")
-    )
+    weeks = [
+        geography.week_stats_at(t, latest_load(t.label_nn), g, "store_activation_date")
+        for g in ("submarket", "starting_point")
+    ]
+    return assembly.training_set(t, "nn", rows, *weeks)
 
 
 def _nn_training_sql() -> tuple[str, dict[str, str]]:
@@ -186,6 +187,7 @@ def _(t):
 
 
 def danp_training(t, segment):
+    t = t.written("deliveries")
     return assembly.training_set(t, segment, labels.danp_monthly_label(t, START, END, FROM))
 
 
@@ -275,6 +277,7 @@ def scoring_inputs(t, segment: str, aov: bool):
 
 
 def scoring(t, segment: str, version: str | None = None):
+    t = t.written("deliveries")
     rows, found = scoring_inputs(t, segment, version is not None)
     if version is not None:
         return assembly.aov_scoring_set(t, segment, version, DAY, rows, found)

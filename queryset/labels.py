@@ -139,7 +139,7 @@ DANP_STEPS = dict(
 
 @query("k29_danp_monthly_label", "SELECT * FROM danp_label", **DANP_STEPS)
 def _(t):
-    return labels.danp_monthly_label(t, START, END, FROM)
+    return labels.danp_monthly_label(t.written("deliveries"), START, END, FROM)
 
 
 ONCE = """SELECT DISTINCT * FROM {merchant_dates} WHERE store_id IN

@@ -73,6 +73,7 @@ def training_rows(t, segment: str):
 
 def aov_rows(t, segment: str, version: str):
     """Order-value labels with the features of the daily table."""
+    t = t.written("deliveries")
     if segment == "nn":
         feats, name = scoring_features.nn_features(t, DAY, aov=True), "aov_label_nn"
     else:

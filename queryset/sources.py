@@ -224,12 +224,14 @@ def _(t):
 )
 def _(t):
     root = scratch_path(_spark(t), "labels")
+    t = t.written("deliveries")
     return publish.generate_labels(t, START, END, f"{root}-nn", f"{root}-danp", FROM)[0]
 
 
 @query("a14_generate_labels_danp", "SELECT * FROM danp_label", **DANP_STEPS)
 def _(t):
     root = scratch_path(_spark(t), "labels")
+    t = t.written("deliveries")
     return publish.generate_labels(t, START, END, f"{root}-nn", f"{root}-danp", FROM)[1]
 
 

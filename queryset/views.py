@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tamarind.session import cut_lineage
 from tamarind.sources.tables import Tables
 
 GIVEN = (
@@ -303,6 +304,12 @@ class GivenTables(Tables):
             self._frames[name] = self.raw(name)
         return super().__getattr__(name)
 
+    def written(self, *names: str) -> "GivenTables":
+        """The same tables with the named views written once for this query,
+        as the physical tables they stand for; jobs that read deliveries a
+        dozen times then scan them instead of joining them again."""
+        return self.with_frames(**{n: cut_lineage(getattr(self, n), n) for n in names})
+
     def with_frames(self, **frames: DataFrame) -> "GivenTables":
         out = GivenTables(self._spark, self._dir)
         out._raw = dict(self._raw)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarind.functions.exprs import as_date, in_days
-from tamarind.operators.keyed import BROADCAST_ROWS
+from tamarind.operators.keyed import BROADCAST_ROWS, spread_join
 
 
 def slot_days(lo: int, hi: int) -> int:
@@ -33,11 +33,15 @@ def pair_in_window(
     fact_col: str,
     lo: int,
     hi: int,
+    spread_by: str | None = None,
+    ways: int = 8,
 ) -> DataFrame:
     """Inner pairs of anchors and facts with equal keys and
     ``anchor + lo <= fact date <= anchor + hi`` (days, both ends included).
 
-    Column names other than the keys must not collide.
+    Column names other than the keys must not collide. For facts that were not
+    reduced beforehand, ``spread_by`` names a column whose hash cuts each
+    (key, slot) into ``ways`` parts; the anchors are repeated once per part.
     """
     width = slot_days(lo, hi)
     day = F.unix_date(F.col(anchor_col).cast("date"))
@@ -49,7 +53,8 @@ def pair_in_window(
     placed = facts.withColumn(
         "__slot", F.floor(F.unix_date(F.col(fact_col).cast("date")) / width)
     )
-    pairs = slotted.join(placed, [*keys, "__slot"], "inner")
+    on = [*keys, "__slot"]
+    pairs = slotted.join(placed, on) if spread_by is None else spread_join(placed, slotted, on, spread_by, ways)
     return pairs.where(in_days(F.col(fact_col).cast("date"), anchor_col, lo, hi)).drop("__slot")
 
 

@@ -60,7 +60,7 @@ def drop_copies(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def spread_join(big: DataFrame, small: DataFrame, on: Iterable[str], by: str, ways: int = 16) -> DataFrame:
+def spread_join(big: DataFrame, small: DataFrame, on: Iterable[str], by: str, ways: int = 64) -> DataFrame:
     """Inner equi-join that splits each key of ``big`` over ``ways`` tasks.
 
     Rows of ``big`` are salted by the hash of a column that varies within a

@@ -41,17 +41,8 @@ def _stat_columns(prefix: str, with_aov: bool = False) -> dict[str, Column]:
     }
 
 
-def week_stats(tables: Tables, dates: Iterable, grain: str = "submarket") -> DataFrame:
-    """Stats of the seven days before each date, with the share of all
-    registered merchants that are live partners."""
+def _week_columns(tables: Tables, totals: DataFrame, grain: str, date_col: str) -> DataFrame:
     key, registry_key, prefix = GRAINS[grain]
-    totals = delivery_totals(
-        tables.core,
-        [key],
-        lambda df: serve_dates(df, dates, "active_date", *WEEK_BEFORE),
-        [key, "create_date"],
-        ids=["creator_id"],
-    )
     known = (
         tables.registry_filtered.where(F.col(registry_key).isNotNull())
         .select(F.col(registry_key).alias(key), "id")
@@ -62,13 +53,42 @@ def week_stats(tables: Tables, dates: Iterable, grain: str = "submarket") -> Dat
     stats = _stat_columns(prefix)
     return totals.join(known, key, "left").select(
         key,
-        "create_date",
+        date_col,
         F.col("known").alias(f"{prefix}_total_stores"),
         *[c.alias(n) for n, c in stats.items()],
         safe_ratio("partner_stores", "known").alias(f"{prefix}_store_partner_percent_overall"),
     )
 
 
+def week_stats(tables: Tables, dates: Iterable, grain: str = "submarket") -> DataFrame:
+    """Stats of the seven days before each date, with the share of all
+    registered merchants that are live partners."""
+    key = GRAINS[grain][0]
+    totals = delivery_totals(
+        tables.core,
+        [key],
+        lambda df: serve_dates(df, dates, "active_date", *WEEK_BEFORE),
+        [key, "create_date"],
+        ids=["creator_id"],
+    )
+    return _week_columns(tables, totals, grain, "create_date")
+
+
+def week_stats_at(tables: Tables, anchors: DataFrame, grain: str, date_col: str) -> DataFrame:
+    """The same stats for the (place, date) pairs of ``anchors`` only, as
+    ``create_date``; the dates never leave the cluster."""
+    key = GRAINS[grain][0]
+    wanted = anchors.select(key, F.col(date_col).alias("create_date")).where(F.col(key).isNotNull()).distinct()
+    totals = delivery_totals(
+        tables.core,
+        [key],
+        lambda df: pair_in_window(wanted, df, [key], "create_date", "active_date", *WEEK_BEFORE),
+        [key, "create_date"],
+        ids=["creator_id"],
+    )
+    return _week_columns(tables, totals, grain, "create_date")
+
+
 def stats_at_activation(
     tables: Tables, activations: DataFrame, grain: str, activation: str = "store_activation_date"
 ) -> DataFrame:

@@ -22,7 +22,7 @@ def _pairs(anchors: DataFrame, core: DataFrame, key: str, at: str, history_days:
     if history_days is None:
         out = spread_join(core, anchors, [key], by="delivery_id").where(F.col("active_date") <= F.col(at))
     else:
-        out = pair_in_window(anchors, core, [key], at, "active_date", -history_days, 0)
+        out = pair_in_window(anchors, core, [key], at, "active_date", -history_days, 0, spread_by="delivery_id")
     return out.withColumns(
         {
             "short": in_days(F.col("active_date"), at, SHORT_FIRST, 0),
