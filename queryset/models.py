@@ -308,10 +308,9 @@ for _version in ("v0", "v2"):
 @query("l15_predictions_by_cohort")
 def _(t):
     reg = _registry(t)
-    rows = {s: cut_lineage(training_rows(t, s), "training") for s in segments.SEGMENTS}
+    rows = {"ac": cut_lineage(training_rows(t, "ac"), "training")}
     train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False, **SMALL)
-    features = {s: cut_lineage(q_assembly.scoring(t, s), "scoring") for s in segments.SEGMENTS}
-    return score.predictions_by_cohort(reg, features, "_test")
+    return score.predictions_by_cohort(reg, {"ac": cut_lineage(q_assembly.scoring(t, "ac"), "scoring")}, "_test")
 
 
 @query("l15_predictions_aov")
