@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import duckdb
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,14 +32,28 @@ def query(name: str, sql: str | None = None, **steps: str):
     return add
 
 
+def _rounded(c: Column) -> Column:
+    """Nine places for small numbers, six for others. Spelled out so that both
+    engines carry out the same floating-point steps, ties included."""
+    small, large = F.floor(c * 1e9 + 0.5) / 1e9, F.floor(c * 1e6 + 0.5) / 1e6
+    return F.when(F.abs(c) < 1000, small).otherwise(large)
+
+
+def _rounded_sql(col: str) -> str:
+    d = f"CAST({col} AS DOUBLE)"
+    return (
+        f"CASE WHEN abs({d}) < 1000 THEN floor({d} * 1e9 + 0.5) / 1e9 ELSE floor({d} * 1e6 + 0.5) / 1e6 END AS {col}"
+    )
+
+
 def publish(df: DataFrame) -> DataFrame:
-    """Types both engines agree on: 64-bit integers, doubles to six places,
+    """Types both engines agree on: 64-bit integers, rounded doubles,
     dates and timestamps as text."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            c = _rounded(c.cast("double"))
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("long")
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -71,7 +85,7 @@ def checks_with_types() -> dict[str, str]:
         for col, kind, *_ in con.execute(f"DESCRIBE {text}").fetchall():
             quoted = f'"{col}"'
             if kind in ("DOUBLE", "FLOAT") or kind.startswith("DECIMAL"):
-                items.append(f"round(CAST({quoted} AS DOUBLE), 6) + 0.0 AS {quoted}")
+                items.append(_rounded_sql(quoted))
             elif kind in ("HUGEINT", "INTEGER", "SMALLINT", "TINYINT", "UBIGINT", "UINTEGER"):
                 items.append(f"CAST({quoted} AS BIGINT) AS {quoted}")
             elif kind == "DATE" or kind.startswith("TIMESTAMP"):

@@ -264,8 +264,8 @@ def store_sql(zero: bool, history: int | None = 180, aov: bool = False, group: s
     cols = [
         "count(DISTINCT delivery_id) AS num_orders_before",
         "count(DISTINCT active_date) AS num_days_active_before",
-        "avg(fee / 100.0) AS avg_fee_before",
-        z("avg(subtotal / 100.0)") + " AS avg_subtotal_before",
+        "avg(fee) / 100.0 AS avg_fee_before",
+        z("avg(subtotal) / 100.0") + " AS avg_subtotal_before",
         z("sum(subtotal) / 100.0") + " AS total_subtotal_before",
         z("median(subtotal) / 100.0") + " AS median_subtotal_before",
         z("max(subtotal) / 100.0") + " AS max_subtotal_before",
@@ -280,9 +280,9 @@ def store_sql(zero: bool, history: int | None = 180, aov: bool = False, group: s
         cents = "sum(subtotal) " + f
         cols += [
             f"count(DISTINCT active_date) {f} AS num_days_active_{name}_before",
-            z(f"avg(subtotal / 100.0) {f}") + f" AS avg_subtotal_{name}_before",
+            z(f"avg(subtotal) {f} / 100.0") + f" AS avg_subtotal_{name}_before",
             f"count(DISTINCT delivery_id) {f} AS num_orders_{name}_before",
-            z(f"avg(fee / 100.0) {f}") + f" AS avg_fee_{name}_before",
+            z(f"avg(fee) {f} / 100.0") + f" AS avg_fee_{name}_before",
             z(f"median(subtotal) {f} / 100.0") + f" AS median_subtotal_{name}_before",
             z(f"CAST({cents} AS DOUBLE)" if name == "7days" else f"{cents} / 100.0") + f" AS total_subtotal_{name}_before",
             z(f"avg(commission_rate) {f}", name == "28days") + f" AS avg_commission_rate_{name}_before",
@@ -365,7 +365,7 @@ def _(t):
     return business.business_before(t, t.label_danp, "reactivation_timestamp")
 
 
-def point_sql(at: str, suffix: str, fee: str = "avg(fee / 100.0)", share_zero: bool = True) -> str:
+def point_sql(at: str, suffix: str, fee: str = "avg(fee) / 100.0", share_zero: bool = True) -> str:
     """Over ``people(store_id, starting_point_id, <at>)``; ``at`` is the output name."""
     share = "count(*) FILTER (WHERE is_partner) / nullif(count(delivery_id), 0)"
     if share_zero:
