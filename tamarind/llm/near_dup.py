@@ -9,11 +9,14 @@ unless every chunk has two errors or more. At a similarity of 0.8 that happens
 to one pair in ten million.
 
 Texts with equal shingle sets are one node. Among the nodes of a key, pairs
-inside one component need no look. A few rounds compare all nodes of a key with
-one of them (a pivot that changes by round), after which few keys still hold
-more than one component; those are then joined in full, across components. So
-large groups of near copies cost a few comparisons a member, and no link that
-would join two components is lost. Every candidate is confirmed on full sets.
+inside one component need no look. First each node is compared with one other
+(the first of its keys' pivots, in an order that changes by round). Nodes whose
+keys then still hold several components are gathered into families that share
+keys; a family is cut into blocks of bounded size, and each pair of blocks is a
+task that looks at pairs across components only and returns the links that join
+them. A family of very many blocks is joined key by key instead. So large groups
+of near copies cost no row for each pair, and no link that would join two
+components is lost. Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -33,8 +36,10 @@ from tamarind.llm.workspace import Workspace
 CHUNKS, PER_CHUNK = 12, 5
 SYMBOLS = CHUNKS * PER_CHUNK
 LANES = SYMBOLS // 4  # longs of four 16-bit symbols
-FAR = SYMBOLS // 2  # signatures further apart are no candidates: one pair in 10**8 at a similarity of 0.8
+FAR = 27  # signatures further apart are no candidates: a few pairs in a million at a similarity of 0.8
 ROUNDS = 2
+BLOCK_NODES, BLOCK_SHINGLES = 2048, 1 << 21  # a block of a family; larger families have more blocks
+FAMILY_BLOCKS = 64  # beyond, a family's keys are joined one by one instead of its blocks
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _A = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -150,6 +155,72 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= (F.size("s_a") + F.size("s_b") - common) * percent).select("a", "b")
 
 
+def _block_links(percent: int):
+    """Links that join components, of one pair of blocks; of a chain of links, those that join."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, comp = table["node"].to_numpy(), table["comp"].to_numpy()
+        block, same = table["block"].to_numpy(), table["left"][0].as_py() == table["right"][0].as_py()
+        flat = table["shingles"].combine_chunks()
+        values, ends = flat.flatten().to_numpy(), np.concatenate([[0], np.cumsum(flat.value_lengths().to_numpy())])
+        size = np.diff(ends)
+        sig = table["sig"].combine_chunks().flatten().to_numpy().view(np.uint16).reshape(len(node), SYMBOLS)
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        columns = np.ascontiguousarray(sig.T)
+        found = []
+        for x in range(len(node)):
+            apart = np.zeros(len(node) - x - 1, np.int16)
+            for i in range(SYMBOLS):
+                apart += columns[i, x + 1 :] != columns[i, x]
+            others = np.flatnonzero(apart <= FAR) + x + 1
+            low, high = np.minimum(size[others], size[x]), np.maximum(size[others], size[x])
+            others = others[(low * 100 >= high * percent) & (same | (block[others] != block[x]))]
+            now = find(int(comp[x]))
+            others = [y for y in others[np.argsort(apart[others - x - 1], kind="stable")].tolist() if find(int(comp[y])) != now]
+            own = values[ends[x] : ends[x + 1]].view(np.uint64)
+            for y in others:
+                there = find(int(comp[y]))
+                if there == find(int(comp[x])):
+                    continue
+                theirs = values[ends[y] : ends[y + 1]].view(np.uint64)
+                at = np.searchsorted(own, theirs)
+                at[at == len(own)] = 0
+                common = int(np.count_nonzero(own[at] == theirs))
+                if common * 100 >= (len(own) + len(theirs) - common) * percent:
+                    root[there] = find(int(comp[x]))
+                    found.append((int(node[x]), int(node[y])))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
+
+
+def _across(rest: DataFrame, nodes: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """Links between components among the nodes that share a key in ``rest`` (key, node, comp, pivot)."""
+    family = work.keep(components(rest.select(F.col("node").alias("a"), F.col("pivot").alias("b")), work).withColumnRenamed("comp", "family"), "family")
+    of = family.join(nodes.select("node", "n"), "node").groupBy("family").agg(F.count("*").alias("count"), F.sum("n").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("count") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    of = family.join(of.select("family", blocks.alias("blocks")), "family")
+    comp = rest.select("node", "comp").distinct()
+    some = of.where(F.col("blocks") <= FAMILY_BLOCKS).join(comp, "node").withColumn("block", F.pmod(F.hash("node"), "blocks"))
+    some = some.join(sigs.select("node", "sig"), "node").join(sets, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    some = some.select("family", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "node", "comp", "sig", "shingles")
+    dense = work.keep(some.groupBy("family", "left", "right").applyInArrow(_block_links(percent), "a long, b long"), "links")
+
+    vast = rest.join(of.where(F.col("blocks") > FAMILY_BLOCKS).select("node"), "node").join(sigs, "node")
+    x = vast.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "sig")])
+    y = vast.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "sig")])
+    pairs = x.join(y, (x.key == y.key) & (x.comp_a < y.comp_b) & _near(percent))
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return work.keep(dense.unionAll(_confirmed(pairs, sets, percent)), "links")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text).
 
@@ -191,15 +262,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), pivot.alias("pivot")).where("lo < hi")
         if turn < ROUNDS:
             pairs = members.join(mixed.select("key", "pivot"), "key").where("comp <> pivot.comp")
-            pairs = pairs.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
+            pairs = pairs.groupBy(F.col("node").alias("a")).agg(F.min("pivot").alias("pivot")).select("a", F.col("pivot.node").alias("b"))
             pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(_near(percent)).select("a", "b")
+            new = work.keep(_confirmed(pairs, sets, percent), "links")
         else:
-            rest = work.keep(members.join(mixed.select("key"), "key").join(sigs, "node"), "rest")
-            left = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "sig")])
-            right = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "sig")])
-            pairs = left.join(right, (left.key == right.key) & (left.comp_a < right.comp_b) & _near(percent))
-            pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-        new = work.keep(_confirmed(pairs, sets, percent), "links")
+            rest = work.keep(members.join(mixed.select("key", F.col("pivot.node").alias("pivot")), "key"), "rest")
+            new = _across(rest, nodes, sigs, sets, percent, work)
         links.append(new)
         if not new.isEmpty():
             labels = work.keep(components(reduce(DataFrame.unionAll, links), work), "labels")
