@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarind.llm.fingerprint import fingerprints
 from tamarind.llm.near_dup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,42 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query(
+    "op1_fingerprint",
+    r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (
+  SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next_text FROM d
+), e AS (
+  SELECT *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited FROM n
+), w AS MATERIALIZED (
+  SELECT *, list_filter(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS a,
+         list_filter(string_split_regex(lower(edited), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS b FROM e
+), h AS MATERIALIZED (
+  SELECT *, CASE WHEN len(a) > 0 THEN list_transform(range(1, greatest(len(a) - 3, 2)), lambda i: left(md5(array_to_string(a[i : i + 4], ' ')), 16)) ELSE [] END AS ha,
+         CASE WHEN len(b) > 0 THEN list_transform(range(1, greatest(len(b) - 3, 2)), lambda i: left(md5(array_to_string(b[i : i + 4], ' ')), 16)) ELSE [] END AS hb FROM w
+), k AS MATERIALIZED (
+  SELECT doc_id, text, edited,
+         list_sort(list_distinct(CASE WHEN len(list_filter(ha, lambda x: x < '2')) > 0 THEN list_filter(ha, lambda x: x < '2') WHEN len(ha) > 0 THEN [list_min(ha)] ELSE [] END)) AS fa,
+         list_sort(list_distinct(CASE WHEN len(list_filter(hb, lambda x: x < '2')) > 0 THEN list_filter(hb, lambda x: x < '2') WHEN len(hb) > 0 THEN [list_min(hb)] ELSE [] END)) AS fb FROM h
+), m AS (
+  SELECT *, coalesce(lead(fa) OVER (ORDER BY doc_id), first_value(fa) OVER (ORDER BY doc_id)) AS fn FROM k
+)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(fa, ',') AS fingerprint, array_to_string(fb, ',') AS edited_fingerprint,
+       CASE WHEN len(fa) + len(fb) = 0 THEN 1.0 ELSE len(list_intersect(fa, fb)) / CAST(len(fa) + len(fb) - len(list_intersect(fa, fb)) AS DOUBLE) END AS near_edited,
+       CASE WHEN len(fa) + len(fn) = 0 THEN 1.0 ELSE len(list_intersect(fa, fn)) / CAST(len(fa) + len(fn) - len(list_intersect(fa, fn)) AS DOUBLE) END AS near_next
+FROM m
+""",
+)
+def op1(spark, sf_dir):
+    out = fingerprints(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_chars", "edited_sha256", F.array_join("sketch", ",").alias("fingerprint"),
+        F.array_join("edited_sketch", ",").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 @query(
     "op10_near_dup",
     r"""
