@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tamarind.llm.fingerprint import fingerprints
 from tamarind.llm.near_dup import near_duplicates
+from tamarind.llm.token_files import token_counts
+from tamarind.llm.token_table import token_digests, write_tokens
+from tamarind.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +90,15 @@ FROM s LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) m ON s.doc_id = m
 )
 def op10(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query("op3_separator_scan")
+def op3(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_table")
+def op9(spark, sf_dir):
+    path = scratch_path(spark, "token-table")
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_digests(spark, path)
