@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarind.llm.fingerprint import fingerprints
+from tamarind.llm.language import languages
 from tamarind.llm.near_dup import near_duplicates
 from tamarind.llm.token_files import token_counts
 from tamarind.llm.token_table import token_digests, write_tokens
+from tamarind.llm.toxicity import toxicity
 from tamarind.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +104,22 @@ def op9(spark, sf_dir):
     path = scratch_path(spark, "token-table")
     write_tokens(table(spark, sf_dir, "documents"), path)
     return token_digests(spark, path)
+
+
+def remainder(n: int):
+    """The fold of a document: crc32 of its id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").where(remainder(3) != 1)
+    out = toxicity(table(spark, sf_dir, "documents"), labels)
+    return out.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op7_language")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = languages(docs, docs.where(remainder(4) != 2))
+    return out.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
