@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tamarind.llm.fingerprint import fingerprints
 from tamarind.llm.language import languages
 from tamarind.llm.near_dup import near_duplicates
+from tamarind.llm.repeats import remove_repeats
 from tamarind.llm.token_files import token_counts
 from tamarind.llm.token_table import token_digests, write_tokens
 from tamarind.llm.toxicity import toxicity
@@ -123,3 +124,8 @@ def op7(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = languages(docs, docs.where(remainder(4) != 2))
     return out.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_repeats")
+def op2(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"), 100).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tamarind.llm.words import LOWER, chunks, mix, powers
 
 SAMPLE = 4000  # labelled rows of each class that the fit sees at most
-FEATURES = 4096  # features with a weight
+FEATURES = 1024  # features with a weight; more of them learn groups of copies by heart
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
 EVEN = 10.0  # weight of the charge for score changes
@@ -159,7 +159,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.concatenate(found), -30, 30))) if found else np.zeros(0)
 
 
-def fit_rows(toxic: np.ndarray, own: list, gone: list, come: list, even: float = EVEN, steps: int = 400) -> Model:
+def fit_rows(toxic: np.ndarray, own: list, gone: list, come: list, even: float = EVEN, steps: int = 800) -> Model:
     """The model of sampled rows: labels, feature hashes, and those that a swap takes away and brings."""
     if not len(toxic) or toxic.min() == toxic.max():
         share = float(toxic.mean()) if len(toxic) else 0.0
