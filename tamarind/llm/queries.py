@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarind.llm.decontaminate import contaminated
 from tamarind.llm.fingerprint import fingerprints
 from tamarind.llm.language import languages
+from tamarind.llm.mixing import mixture
 from tamarind.llm.near_dup import near_duplicates
 from tamarind.llm.repeats import remove_repeats
 from tamarind.llm.token_files import token_counts
@@ -129,3 +131,33 @@ def op7(spark, sf_dir):
 @query("op2_repeats")
 def op2(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents"), 100).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query(
+    "op4_poisson_mix",
+    r"""
+WITH size AS (SELECT source, CAST(sum(length(coalesce(text, ''))) AS DOUBLE) AS size FROM documents GROUP BY source),
+total AS (SELECT sum(size) AS sizes, sum(pow(size, 0.5)) FILTER (WHERE size > 0) AS weights FROM size),
+rate AS (SELECT source, CASE WHEN size > 0 THEN pow(size, 0.5) / weights * sizes / size ELSE 0.0 END AS rate FROM size, total),
+cdf AS (
+  SELECT source, rate, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
+  FROM rate, generate_series(0, 400) g(k) WHERE rate > 0 AND k <= ceil(rate + 12 * sqrt(rate) + 30)
+), drawn AS (
+  SELECT *, CAST('0x' || left(md5(CAST(doc_id AS VARCHAR) || '|mix-1'), 13) AS BIGINT) / 4503599627370496.0 AS u FROM documents
+), counted AS (
+  SELECT d.doc_id, d.source, d.text, count(*) AS copies FROM drawn d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source AND c.p <= d.u
+  GROUP BY d.doc_id, d.source, d.text
+)
+SELECT doc_id, source, text, copies AS mix_copies, copy AS mix_copy,
+       left(md5(CAST(doc_id AS VARCHAR) || '|' || CAST(copy AS VARCHAR) || '|mix-1|order'), 16) AS mix_key
+FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted)
+""",
+)
+def op4(spark, sf_dir):
+    out = mixture(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "text", "mix_copies", "mix_copy", "mix_key")
+
+
+@query("op8_decontaminate")
+def op8(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
