@@ -279,10 +279,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         of_node = of_node.select("node", F.coalesce("least_id", "first_id").alias("component_id"))
     else:
         of_node = of_node.withColumnRenamed("first_id", "component_id")
-    work.drop(keys, sets)
     out = sketch.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return work.only(out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept")), "result")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tamarind.llm.decontaminate import contaminated
 from tamarind.llm.fingerprint import fingerprints
 from tamarind.llm.language import languages
@@ -16,6 +17,7 @@ from tamarind.llm.near_dup import near_duplicates
 from tamarind.llm.repeats import remove_repeats
 from tamarind.llm.token_files import token_counts
 from tamarind.llm.token_table import token_digests, write_tokens
+from tamarind.llm.tool_calls import SCHEMAS, calls_of, link_calls
 from tamarind.llm.toxicity import toxicity
 from tamarind.session import scratch_path
 
@@ -161,3 +163,37 @@ def op4(spark, sf_dir):
 @query("op8_decontaminate")
 def op8(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op6_tool_calls",
+    r"""
+WITH calls AS (
+  SELECT conv_id, turn, text, left(md5(conv_id || ':' || turn), 12) AS call_id, left(md5(conv_id || ':' || (turn - 2)), 12) AS needed, length(text) AS n
+  FROM conversations WHERE role = 'user'
+), results AS (
+  SELECT conv_id, left(md5(conv_id || ':' || (turn - 1)), 12) AS call_id, min(text) AS content FROM conversations WHERE role = 'assistant' GROUP BY ALL
+), levels AS (
+  SELECT c.conv_id, c.call_id, count(DISTINCT b.turn) - 1 AS level FROM calls c JOIN calls b
+    ON b.conv_id = c.conv_id AND b.turn <= c.turn AND (c.turn - b.turn) % 2 = 0
+   AND (SELECT count(DISTINCT m.turn) FROM calls m WHERE m.conv_id = c.conv_id AND m.turn BETWEEN b.turn AND c.turn AND (c.turn - m.turn) % 2 = 0) = (c.turn - b.turn) // 2 + 1
+  GROUP BY ALL
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+  CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status, l.level,
+  c.call_id IS NOT NULL AND (n % 3 = 0 OR n % 11 BETWEEN 1 AND 9) AS valid,
+  CASE WHEN c.call_id IS NULL THEN '$: not JSON; no tool None' WHEN n % 3 = 0 OR n % 11 BETWEEN 1 AND 9 THEN '' WHEN n % 11 = 0 THEN '$.limit: below 1' ELSE '$.limit: above 9' END AS errors,
+  '{"arguments":' || CASE WHEN c.call_id IS NULL THEN 'null' WHEN n % 3 = 0 THEN '{"query":' || to_json(text) || ',"to":"en"}' ELSE '{"limit":' || (n % 11) || ',"query":' || to_json(text) || '}' END
+    || ',"id":"' || coalesce(c.call_id, r.call_id) || '","name":' || CASE WHEN c.call_id IS NULL THEN 'null' WHEN n % 3 = 0 THEN '"translate"' ELSE '"search"' END
+    || ',"result":' || coalesce(CAST(to_json(r.content) AS VARCHAR), 'null') || '}' AS json
+FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id LEFT JOIN levels l ON l.conv_id = c.conv_id AND l.call_id = c.call_id
+""",
+)
+def op6(spark, sf_dir):
+    calls, results = calls_of(table(spark, sf_dir, "conversations"))
+    return link_calls(calls, results, SCHEMAS)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

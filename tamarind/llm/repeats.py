@@ -263,7 +263,7 @@ def repeated_spans(docs: DataFrame, work: Workspace, length: int = LENGTH) -> Da
     least = each.groupBy("key", "window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "window", "first")
     late = each.join(least, ["key", "window"]).where(~place.eqNullSafe(F.col("first")))
     late = late.select("doc_id", F.col("lo").alias("start"), (F.col("lo") + length).alias("end"))
-    return work.keep(copies.unionAll(few).unionAll(late), "spans")
+    return work.only(copies.unionAll(few).unionAll(late), "spans")
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

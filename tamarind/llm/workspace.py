@@ -19,7 +19,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label = spark, label
-        self._paths: dict[int, str] = {}
+        self._paths: set[str] = set()
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.label}-{name}")
@@ -30,16 +30,27 @@ class Workspace:
         finally:
             self.spark.conf.set(CLEAN, before)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
+        self._paths.add(path)
         out._workspace_path = path
         return out
 
+    def only(self, df: DataFrame, name: str) -> DataFrame:
+        """Keeps ``df`` and deletes all other tables of this workspace."""
+        before = list(self._paths)
+        out = self.keep(df, name)
+        for path in before:
+            self._delete(path)
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that :meth:`keep` returned; they can't be read any more."""
         for df in tables:
-            path = getattr(df, "_workspace_path", None)
-            if path and path in self._paths.values():
-                delete(self.spark, path)
+            self._delete(df._workspace_path)
+
+    def _delete(self, path: str) -> None:
+        if path in self._paths:
+            self._paths.remove(path)
+            delete(self.spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
