@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tamarind.llm.words import LOWER, chunks, mix, powers
 
-SAMPLE = 4000  # labelled rows of each class that the fit sees at most
+SAMPLE = 3000  # labelled rows of each class that the fit sees at most
 FEATURES = 1024  # features with a weight; more of them learn groups of copies by heart
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
@@ -166,7 +166,8 @@ def fit_rows(toxic: np.ndarray, own: list, gone: list, come: list, even: float =
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log((share + 0.01) / (1.01 - share))))
     size = np.array([len(x) for x in own])
     names, place = np.unique(np.concatenate(own), return_inverse=True)
-    row = np.repeat(np.arange(len(own)), size)
+    place = place.astype(np.int32)
+    row = np.repeat(np.arange(len(own), dtype=np.int32), size)
     n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
     in1 = np.bincount(place, toxic[row], len(names))
     seen = np.bincount(place, minlength=len(names))
@@ -175,7 +176,7 @@ def fit_rows(toxic: np.ndarray, own: list, gone: list, come: list, even: float =
     z[seen < 3] = 0
     best = np.sort(np.lexsort((names, -z))[:FEATURES])
     best = best[z[best] > 0]
-    to = np.full(len(names), -1)
+    to = np.full(len(names), -1, np.int32)
     to[best] = np.arange(len(best))
     use = to[place] >= 0
     r, c = row[use], to[place][use]
@@ -217,8 +218,14 @@ def fit(docs: DataFrame, labels: DataFrame, even: float = EVEN, groups=GROUPS, s
     # About 2 * sample rows of two numbers, whatever the input's size.
     rows = docs.join(F.broadcast(some), docs["doc_id"].cast("long") == F.col("labelled_id")).select("toxic", docs["text"].cast("string"))
     got = rows.mapInArrow(_sampler(groups), "toxic int, own array<long>, gone array<long>, come array<long>").toArrow()
-    lists = lambda name: [np.array(x, np.int64).view(np.uint64) for x in got[name].to_pylist()]
-    return fit_rows(got["toxic"].to_numpy().astype(float), lists("own"), lists("gone"), lists("come"), even)
+
+    def lists(name: str) -> list[np.ndarray]:
+        column = got[name].combine_chunks()
+        ends = column.offsets.to_numpy()
+        return np.split(column.values.to_numpy().view(np.uint64), ends[1:-1]) if len(column) else []
+
+    toxic = got["toxic"].to_numpy().astype(float)
+    return fit_rows(toxic, lists("own"), lists("gone"), lists("come"), even)
 
 
 def scorer(model: Model):
