@@ -15,7 +15,7 @@ far. To sort all suffixes of a corpus isn't needed for that.
    suffixes are sorted, and the longest previous factor of each, found from its
    previous and next smaller positions, says whether it is a repeat. An anchor
    with very many such segments is resolved window by window instead, by the
-   least position of each window's hash, which combines before the shuffle.
+   least position of each window's hash, which its parts combine beforehand.
 
 Anchors, windows and segments are compared by 64-bit hashes, which are joined
 with the anchor's, so only strings with equal anchors can be confused.
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ from tamarind.llm.workspace import Workspace
 LENGTH = 100
 GRAM = 32
 _PLACE = np.uint64(22)  # low bits of a minimum that tell its place in a chunk
-MANY = 2048  # differing segments of an anchor that are sorted together; beyond, window by window
+MANY = 1 << 14  # differing segments of an anchor that are sorted together; beyond, window by window
+PARTS = 16  # of an anchor with more
+TOGETHER = 2048  # segments of several anchors that are sorted at once
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
@@ -148,15 +151,32 @@ def _cutter(length: int):
 
 
 def _window_hashes(length: int):
+    """Windows of segments that come ordered by anchor and place: of equal ones in a
+    batch the first, and the others, which are repeats, as spans."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, doc, lo, piece in zip(*(c.to_pylist() for c in batch.columns)):
-                data = np.frombuffer(piece, np.uint8)
-                at = np.arange(len(data) - length + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), key)), pa.array(_of_length(_hashes(data), at, length).view(np.int64)), pa.array([doc] * len(at), pa.int64()), pa.array(lo + at)],
-                    names=["key", "window", "doc_id", "lo"],
-                )
+            data = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8)
+            sizes = pc.binary_length(batch.column(3)).to_numpy().astype(np.int64)
+            windows = np.maximum(sizes - length + 1, 0)
+            row = np.repeat(np.arange(len(sizes)), windows)
+            inside = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+            if not len(row):
+                continue
+            name = _of_length(_hashes(data), (np.cumsum(sizes) - sizes)[row] + inside, length)
+            key, lo = batch.column(0).to_numpy()[row], batch.column(2).to_numpy()[row] + inside
+            order = np.lexsort((np.arange(len(row)), name, key))
+            again = np.zeros(len(row), bool)
+            again[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (name[order[1:]] == name[order[:-1]])
+            hit, first = np.flatnonzero(again), np.flatnonzero(~again)
+            head = np.append(True, (row[hit[1:]] != row[hit[:-1]]) | (lo[hit[1:]] != lo[hit[:-1]] + 1))[: len(hit)]
+            tail = np.append(head[1:], True)[: len(hit)]
+            at = np.concatenate([first, hit[head]])
+            end = np.concatenate([np.zeros(len(first), np.int64), lo[hit[tail]] + length])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[at]), pa.array(name[at].view(np.int64)), batch.column(1).take(pa.array(row[at])), pa.array(lo[at]), pa.array(end, mask=end == 0)],
+                names=["key", "window", "doc_id", "lo", "end"],
+            )
 
     return run
 
@@ -212,7 +232,7 @@ def _sorted_windows(length: int):
     def resolve(table: pa.Table) -> Iterator[pa.RecordBatch]:
         keys, start, n = table["key"].to_numpy(), 0, table.num_rows
         while start < n:
-            end = min(n, start + MANY)  # whole anchors, about MANY segments at once
+            end = min(n, start + TOGETHER)  # whole anchors
             while end < n and keys[end] == keys[end - 1]:
                 end += 1
             part = table.slice(start, end - start).combine_chunks()
@@ -258,11 +278,15 @@ def repeated_spans(docs: DataFrame, work: Workspace, length: int = LENGTH) -> Da
     work.drop(again, firsts)
     few = cut.where("NOT many").repartition("key").sortWithinPartitions("key", F.col("doc_id").asc_nulls_first(), "lo")
     few = few.select("key", "doc_id", "lo", "bytes").mapInArrow(_sorted_windows(length), "doc_id long, start long, end long")
-    each = cut.where("many").select("key", "doc_id", "lo", "bytes").mapInArrow(_window_hashes(length), "key long, window long, doc_id long, lo long")
-    each = work.keep(each, "windows")
-    least = each.groupBy("key", "window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "window", "first")
-    late = each.join(least, ["key", "window"]).where(~place.eqNullSafe(F.col("first")))
+    # A hot anchor's segments are dealt into parts, each of which combines its equal windows before they meet.
+    part = F.pmod(F.xxhash64("doc_id", "lo"), F.lit(PARTS))
+    hot = cut.where("many").repartition("key", part).sortWithinPartitions("key", F.col("doc_id").asc_nulls_first(), "lo").select("key", "doc_id", "lo", "bytes")
+    each = work.keep(hot.mapInArrow(_window_hashes(length), "key long, window long, doc_id long, lo long, end long"), "windows")
+    met = each.where("end IS NULL")
+    least = met.groupBy("key", "window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "window", "first")
+    late = met.join(least, ["key", "window"]).where(~place.eqNullSafe(F.col("first")))
     late = late.select("doc_id", F.col("lo").alias("start"), (F.col("lo") + length).alias("end"))
+    late = late.unionAll(each.where("end IS NOT NULL").select("doc_id", F.col("lo").alias("start"), "end"))
     return work.only(copies.unionAll(few).unionAll(late), "spans")
 
 
