@@ -29,8 +29,9 @@ def _spans(end: int, anchor: str) -> str:
     parts = []
     for span in (84, 28, 14):
         held = f"FILTER (WHERE d BETWEEN {anchor} - {span - end} AND {anchor} - {-end})"
-        parts.append(f"avg(n) {held} AS avg_search_count_{span}_days_before_null_excluded")
-        parts.append(f"sum(n) {held} AS total_search_count_{span}_days_before")
+        some = f"CASE WHEN count(*) {held} > 0 THEN"
+        parts.append(f"{some} coalesce(avg(n) {held}, 0) END AS avg_search_count_{span}_days_before_null_excluded")
+        parts.append(f"{some} coalesce(sum(n) {held}, 0) END AS total_search_count_{span}_days_before")
     return ", ".join(parts)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarind.functions.exprs import as_date, in_days
-from tamarind.operators.keyed import BROADCAST_ROWS, spread_join
+from tamarind.operators.keyed import spread_join
 
 
 def slot_days(lo: int, hi: int) -> int:
@@ -50,6 +50,11 @@ def pair_in_window(
     slotted = anchors.where(F.col(anchor_col).isNotNull()).withColumn(
         "__slot", F.explode(F.sequence(first, last))
     )
+    # The anchors' first and last day bound the facts, so that dated partitions are pruned.
+    days = anchors.agg(F.min(F.col(anchor_col).cast("date")).alias("from"), F.max(F.col(anchor_col).cast("date")).alias("to"))
+    earliest = days.select(F.date_add("from", lo)).scalar()
+    latest = days.select(F.date_add("to", hi)).scalar()
+    facts = facts.where(F.col(fact_col).cast("date").between(earliest, latest))
     placed = facts.withColumn(
         "__slot", F.floor(F.unix_date(F.col(fact_col).cast("date")) / width)
     )
@@ -64,9 +69,7 @@ def day_map(
     """(day, test date) pairs: which requested dates a fact of a day serves."""
     wanted = sorted({as_date(d) for d in dates})
     rows = [(d + dt.timedelta(days=k), d) for d in wanted for k in range(lo, hi + 1)]
-    out = spark.createDataFrame(rows, f"{day_col} date, {as_name} date")
-    # The row count is known here: dates x window length.
-    return F.broadcast(out) if len(rows) <= BROADCAST_ROWS else out
+    return spark.createDataFrame(rows, f"{day_col} date, {as_name} date")
 
 
 def serve_dates(

@@ -7,10 +7,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest key set (rows) a caller may mark for broadcast; the size is counted
-# on literals only, never on data.
-BROADCAST_ROWS = 200_000
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Iterable[str], how: str = "left") -> DataFrame:
     """Equi-join in which NULL keys match each other; keys come from the left."""
@@ -55,11 +51,6 @@ def keys_seen_once(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def drop_copies(df: DataFrame) -> DataFrame:
-    """SQL ``UNION`` semantics after ``unionByName``."""
-    return df.distinct()
-
-
 def spread_join(big: DataFrame, small: DataFrame, on: Iterable[str], by: str, ways: int = 64) -> DataFrame:
     """Inner equi-join that splits each key of ``big`` over ``ways`` tasks.
 

@@ -24,14 +24,15 @@ GRAINS = {
 def chain_sales(tables: Tables, dates: Iterable, grain: str) -> DataFrame:
     """Partner sales per partner store over t-28 .. t-1. NULL without partner sales."""
     keys = GRAINS[grain]
-    served = serve_dates(
-        tables.core.select("store_id", "active_date", "subtotal", "is_partner"),
-        dates, "active_date", *MONTH, as_name="created_date",
-    )
-    per_store = served.groupBy("store_id", "created_date").agg(
+    # A row per store and day is served to the dates, not each delivery.
+    daily = tables.core.groupBy("store_id", "active_date").agg(
         F.sum(F.when(is_true("is_partner"), F.col("subtotal"))).alias("cents"),
         F.max(is_true("is_partner")).alias("partner"),
     )
+    served = serve_dates(daily, dates, "active_date", *MONTH, as_name="created_date")
+    per_store = served.groupBy("store_id", "created_date").agg(
+        F.sum("cents").alias("cents"), F.max("partner").alias("partner")
+    )
     # Each store is one row per date by now; the chain list may name it twice.
     listed = tables.enterprise_merchants.where(F.col("store_id").isNotNull())
     rows = per_store.join(listed, "store_id")

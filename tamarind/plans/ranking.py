@@ -176,7 +176,7 @@ def valid_leads(tables: Tables, pred_date: DateLike) -> DataFrame:
     )
     m = tables.registry.join(checks, "id", "left").join(stores, "store_id", "left")
     score, country = F.col("existence_score"), F.col("country")
-    in_country = (country == "USA") | (country != "USA")  # a missing country fails
+    in_country = country.isNotNull()
     no_entry = F.col("directory_id").isNull()
     not_closed = nz("permanently_closed") == 0
     valid = F.col("is_valid_restaurant")

@@ -31,7 +31,8 @@ def danp_features(
     """
     dea, act = "most_recent_deactivation_timestamp", "activation_date"
     # Every feature job below starts from the population: find it once.
-    people = cut_lineage(known_merchants(tables, date, snapshots_after), "known-merchants")
+    people = known_merchants(tables, date, snapshots_after).where(day_diff(dea, act) <= MAX_GAP_DAYS)
+    people = cut_lineage(people, "known-merchants")
     days = None if aov else store_stats.HISTORY_DAYS
     stats = store_stats.before_deactivation(tables, people, at=dea, history_days=days, with_aov=aov)
     firm = business.business_before(tables, people, act, None if aov else business.HISTORY_DAYS)
@@ -58,8 +59,7 @@ def danp_features(
         .otherwise(F.lit("other"))
     )
     rows = (
-        people.where(day_diff(dea, act) <= MAX_GAP_DAYS)
-        .join(lifetime, "store_id", "left")
+        people.join(lifetime, "store_id", "left")
         .join(searched, "match_id", "left")
         .join(stats, ["store_id", dea], "left")
         .join(firm, ["business_id", act], "left")

@@ -33,13 +33,15 @@ def daily_counts(tables: Tables) -> DataFrame:
 
 def _lookbacks(pairs: DataFrame, group: list[str], anchor: str, end: int) -> DataFrame:
     """All nested windows from one pass over the widest one. A merchant with
-    no day in a window has NULLs there."""
+    no day in a window has NULLs there, one whose days hold no count zeros."""
     aggs = []
     for span, first in SPANS.items():
-        held = F.when(in_days(F.col("search_date"), anchor, end - first, end), F.col("search_count"))
+        inside = in_days(F.col("search_date"), anchor, end - first, end)
+        held = F.when(inside, F.col("search_count"))
+        some = F.count(F.when(inside, F.lit(1))) > 0
         aggs += [
-            F.avg(held).alias(f"avg_search_count_{span}_days_before_null_excluded"),
-            F.sum(held).alias(f"total_search_count_{span}_days_before"),
+            F.when(some, F.coalesce(F.avg(held), F.lit(0.0))).alias(f"avg_search_count_{span}_days_before_null_excluded"),
+            F.when(some, F.coalesce(F.sum(held), F.lit(0.0))).alias(f"total_search_count_{span}_days_before"),
         ]
     return pairs.groupBy(*group).agg(*aggs)
 

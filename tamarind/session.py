@@ -31,11 +31,14 @@ def local_session(app: str = "tamarind", cores: str = "8", **conf: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the session names none (a single-machine test run) is a local
-    folder chosen and recorded in the session.
+    Only where the session names none and runs on this machine alone is a local
+    folder chosen and recorded in the session. On a cluster that is an error:
+    each executor would write to a disk of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tamarind-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -46,6 +49,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of whatever file system ``path`` names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def cut_lineage(df, label: str = "stage"):
     """Write ``df`` to the shared folder and read it back.
 

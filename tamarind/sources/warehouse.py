@@ -13,6 +13,7 @@ from tamarind.functions.exprs import DateLike, as_date, checked_name
 from tamarind.plans import enterprise, geography, scoring_features, search
 from tamarind.plans.labels import HISTORY_FROM
 from tamarind.plans.population import SNAPSHOTS_AFTER
+from tamarind.session import delete_path
 from tamarind.sources.tables import Tables, normalise
 
 BATCH_ROWS = 1_000_000
@@ -158,5 +159,8 @@ def backfill(
     wanted = sorted({as_date(d) for d in dates})
     build = feature_builders()[feature] if isinstance(feature, str) else feature
     rows = build(tables, wanted)
+    # A date that has no rows any more must not keep its old ones.
+    for date in wanted:
+        delete_path(rows.sparkSession, f"{path}/create_date={date.isoformat()}")
     replace_partitions(rows, path)
     return read_dated(rows.sparkSession, path, rows)
