@@ -16,7 +16,8 @@ import numpy as np
 from tamarind.llm.words import span_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
-MOST_PIECES = 1 << 22  # pieces a process remembers, about 30 bytes each; then it starts anew
+MOST_PIECES = 1 << 20  # pieces a process remembers, about 30 bytes each; then it starts anew
+_TEXTS = 256  # rows of pieces that the library encodes at once; its results are many times their size
 
 _VISIBLE = np.ones(256, bool)
 _VISIBLE[:33] = False
@@ -95,8 +96,9 @@ class Encoder:
         rows, pieces = [], [data[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(starts[order].tolist(), ends[order].tolist())]
         n = int(joined.sum())
         texts = ["".join(pieces[i : min(i + 64, n)]) for i in range(0, n, 64)] + pieces[n:]
-        for encoding in self.library.encode_batch_fast(texts, add_special_tokens=False):
-            rows.append(np.array(encoding.ids, self.type))
+        for i in range(0, len(texts), _TEXTS):
+            for encoding in self.library.encode_batch_fast(texts[i : i + _TEXTS], add_special_tokens=False):
+                rows.append(np.array(encoding.ids, self.type))
         width = (ends - starts)[order]
         single = np.array([len(r) for r in rows[len(rows) - (len(pieces) - n) :]], np.int64) if n < len(pieces) else np.zeros(0, np.int64)
         together = np.concatenate(rows[: len(rows) - (len(pieces) - n)]) if n else np.zeros(0, self.type)
