@@ -1,9 +1,11 @@
 """Tool calls linked to their results, ordered, validated and written as canonical JSON.
 
 Calls and results are joined on (conversation, call id). A call's place is the
-length of the longest chain of calls it depends on; it is found round by round,
-each a join and an aggregate of the calls not placed yet, so a conversation may
-be of any size. As many rounds are needed as the longest chain has calls.
+length of the longest chain of calls it depends on. Calls with one need are
+skipped over by pointers that double their reach each round, so a chain of n
+calls takes log n joins; calls with several needs are placed round by round, each
+a join and an aggregate. A conversation may be of any size. As many rounds are
+needed as the longest chain has calls with several needs.
 """
 
 from __future__ import annotations
@@ -78,27 +80,55 @@ def _finisher(schemas: dict[str, dict]):
     return run
 
 
+def _meet(left: DataFrame, at: str, right: DataFrame, how: str) -> DataFrame:
+    """``left`` with the columns of ``right`` (conv_id, call_id, others) for the call that ``at`` names."""
+    right = right.withColumnRenamed("conv_id", "r_conv").withColumnRenamed("call_id", "r_call")
+    return left.join(right, F.col("conv_id").eqNullSafe(F.col("r_conv")) & (F.col(at) == F.col("r_call")), how).drop("r_conv", "r_call")
+
+
+def _skipped(one: DataFrame, work: Workspace) -> DataFrame:
+    """(conv_id, call_id, to, steps, open) of calls (conv_id, call_id, to) with one need:
+    the first call down the chain that hasn't one need, and how far it is. Each round
+    doubles the distance; ``open`` are calls whose chain has no end, as it holds a cycle."""
+    jump = work.keep(one.withColumn("steps", F.lit(1).cast("long")), "jump")
+    longest = jump.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    reach = 1
+    while True:
+        on = jump.select("conv_id", "call_id", F.col("to").alias("on"), F.col("steps").alias("more"))
+        both = _meet(jump.select("conv_id", "call_id", "to", "steps"), "to", on, "left")
+        jump = work.keep(
+            both.select("conv_id", "call_id", F.coalesce("on", "to").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("on").isNotNull().alias("open")), "jump"
+        )
+        if reach > longest or jump.where("open").isEmpty():
+            return jump
+        reach *= 2
+
+
 def levels(calls: DataFrame, work: Workspace) -> DataFrame:
     """(conv_id, call_id, level): 0 for a call that depends on no other (``after``,
     an array of call ids of its conversation), else one more than the highest level
     it depends on. Unknown ids count as done; calls on a cycle, or after one, have no row."""
     ids = calls.select("conv_id", "call_id").distinct()
     needs = calls.select("conv_id", "call_id", F.explode("after").alias("needed")).distinct()
-    known = ids.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"))
-    needs = work.keep(needs.join(known, needs["conv_id"].eqNullSafe(F.col("c")) & (needs["needed"] == F.col("n"))).select("conv_id", "call_id", "needed"), "needs")
-    waiting = needs.select("conv_id", "call_id").distinct()
-    free = ids.join(waiting.select(F.col("conv_id").alias("c"), F.col("call_id").alias("w")), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("w")), "left_anti")
+    needs = work.keep(_meet(needs, "needed", ids, "inner"), "needs")
+    count = needs.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.min("needed").alias("to"))
+    jump = _skipped(count.where("n = 1").select("conv_id", "call_id", "to"), work)
+    # The needs of calls with several, each by the end of its chain; a chain without end has none.
+    hops = _meet(needs, "call_id", count.where("n > 1").select("conv_id", "call_id"), "left_semi")
+    hops = _meet(hops, "needed", jump, "left")
+    at = F.when(F.col("to").isNull(), F.col("needed")).when(~F.col("open"), F.col("to"))
+    hops = work.keep(hops.select("conv_id", "call_id", at.alias("at"), F.coalesce("steps", F.lit(0).cast("long")).alias("steps")), "hops")
+    free = _meet(ids, "call_id", count.select("conv_id", "call_id"), "left_anti")
     done = placed = work.keep(free.withColumn("level", F.lit(0).cast("long")), "level")
     while not placed.isEmpty():
         # Of a call that still waits: how many of its needs are placed, and how high.
-        at = done.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"), F.col("level"))
-        both = needs.join(at, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("needed") == F.col("n")), "left")
-        ready = both.groupBy("conv_id", "call_id").agg(F.count("*").alias("all"), F.count("level").alias("have"), F.max("level").alias("top")).where("all = have")
-        old = done.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"))
-        fresh = ready.join(old, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("n")), "left_anti")
+        both = _meet(hops, "at", done, "left")
+        ready = both.groupBy("conv_id", "call_id").agg(F.count("*").alias("all"), F.count("level").alias("have"), F.max(F.col("level") + F.col("steps")).alias("top")).where("all = have")
+        fresh = _meet(ready, "call_id", done.select("conv_id", "call_id"), "left_anti")
         placed = work.keep(fresh.select("conv_id", "call_id", (F.col("top") + 1).alias("level")), "level")
         done = done.unionAll(placed)
-    return done
+    ends = _meet(jump.where("NOT open"), "to", done, "inner")
+    return done.unionAll(ends.select("conv_id", "call_id", (F.col("level") + F.col("steps")).alias("level")))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:

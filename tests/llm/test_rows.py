@@ -14,7 +14,7 @@ from tamarind.llm.language import UNKNOWN, languages, profiles
 from tamarind.llm.mixing import mixture, rates
 from tamarind.llm.token_files import scan_documents, token_counts
 from tamarind.llm.token_table import token_digests, write_tokens
-from tamarind.llm.tool_calls import SCHEMAS, canonical, errors_of, link_calls
+from tamarind.llm.tool_calls import SCHEMAS, canonical, errors_of, levels, link_calls
 from tamarind.llm.toxicity import drop_toxic, fit_rows, swapped, toxicity, _of_text
 from tamarind.llm.workspace import Workspace
 from tamarind.session import scratch_path
@@ -209,3 +209,27 @@ def test_errors_and_canonical():
     assert errors_of({"a": [1, "x"]}, {"properties": {"a": {"type": "array", "items": {"type": "integer"}}}}) == ["$.a[1]: not of type integer"]
     assert errors_of(True, {"type": "integer"}) and errors_of({"b": 1}, {"additionalProperties": False}) == ["$.b: not allowed"]
     assert canonical({"b": 1, "a": ["é"]}) == '{"a":["é"],"b":1}'
+
+
+def test_levels_of_chains_forks_and_cycles(spark):
+    """Against a plain search: long chains, calls with several needs, cycles and what hangs on them."""
+    rng = np.random.Generator(np.random.PCG64(11))
+    needs = {(1, f"c{i}"): [f"c{i - 1}"] if i else [] for i in range(37)}
+    needs |= {(2, f"c{i}"): sorted({f"c{j}" for j in rng.integers(0, i, rng.integers(0, 4))}) if i else [] for i in range(40)}
+    needs |= {(3, "a"): ["b"], (3, "b"): ["a"], (3, "c"): ["b"], (3, "d"): ["c", "e"], (3, "e"): ["gone"], (3, "f"): ["f"], (3, "g"): ["e", "e"]}
+    needs |= {(None, "a"): [], (None, "b"): ["a"]}
+
+    want = {}
+    while True:
+        new = {}
+        for (conv, call), after in needs.items():
+            known = {n for n in after if (conv, n) in needs}
+            if (conv, call) not in want and all((conv, n) in want for n in known):
+                new[conv, call] = max([want[conv, n] + 1 for n in known], default=0)
+        if not new:
+            break
+        want |= new
+    calls = spark.createDataFrame([(c, i, a) for (c, i), a in needs.items()], "conv_id long, call_id string, after array<string>")
+    got = levels(calls, Workspace(spark, "test-levels")).collect()
+    assert len(got) == len(want)
+    assert {(r.conv_id, r.call_id): r.level for r in got} == want
