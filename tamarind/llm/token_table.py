@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tamarind.llm.encoder import encoder, vocabulary_path
 from tamarind.llm.words import chunks
+from tamarind.llm.workspace import DURING, Workspace, settings
 
 END = 0
 LAYOUT = {
@@ -61,7 +62,8 @@ def write_tokens(docs: DataFrame, path: str, ordered: bool = True, vocabulary: s
         n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         texts = texts.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     rows = texts.mapInArrow(_encoder(vocabulary or vocabulary_path(), end), _ROW).withColumn("part", F.spark_partition_id())
-    rows.write.options(**LAYOUT).parquet(path)
+    with settings(docs.sparkSession, DURING):
+        rows.write.options(**LAYOUT).parquet(path)
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,4 +98,5 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each written row, from the files."""
     rows = read_tokens(spark, path).select("part", F.col("_metadata.row_index").alias("place"), "doc_id", "n_tokens", "tokens")
     crc = rows.mapInArrow(_checksums, "part int, place long, doc_id long, n_tokens long, ids_crc32 long").select("part", "place", "ids_crc32")
+    crc = Workspace(spark, "token-crc").keep(crc, "numbers")
     return token_index(spark, path).join(crc, ["part", "place"]).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -2,11 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tamarind.session import scratch_path
 
-CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Set while a table is written. Batches that go to Python are bounded by bytes,
+#: as rows may be of any length; shuffle files are given up after the write.
+DURING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """``values`` in the session's settings, put back at the end."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 class Workspace:
@@ -23,12 +47,8 @@ class Workspace:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.label}-{name}")
-        before = self.spark.conf.get(CLEAN, "false")
-        self.spark.conf.set(CLEAN, "true")
-        try:
+        with settings(self.spark, DURING):
             df.write.parquet(path)
-        finally:
-            self.spark.conf.set(CLEAN, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths.add(path)
         out._workspace_path = path
