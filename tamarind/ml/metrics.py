@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.functions.exprs import ratio
-from tamarind.operators.ranking import _value_bin
+from tamarind.operators.ranking import in_ranges
 from tamarind.session import cut_lineage
 
 CELLS = 512  # at most about this many rank cells per axis
@@ -29,14 +29,14 @@ def error_sums(df: DataFrame, pred: str = "pred", actual: str = "actual") -> Dat
 
 def value_ranks(df: DataFrame, col: str, weight: str) -> DataFrame:
     """Per different value: the number of rows below it (``below``) and its
-    own (``own``). Values are ordered inside coarse bins only."""
-    values = df.groupBy(col).agg(F.sum(weight).alias("own")).withColumn("__bin", _value_bin(F.col(col)))
-    bins = values.groupBy("__bin").agg(F.sum("own").alias("n"))
-    # The number of bins is bounded, whatever the number of rows.
-    before = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bins.select("__bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("__bin").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    return values.join(offsets, "__bin").select(
+    own (``own``). Values are ordered inside even ranges only."""
+    values = in_ranges(df.groupBy(col).agg(F.sum(weight).alias("own")), F.col(col).asc())
+    parts = values.groupBy("__part").agg(F.sum("own").alias("n"))
+    # A row for each partition of a shuffle.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("__part").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    return values.join(offsets, "__part").select(
         col, "own", (F.col("offset") + F.coalesce(F.sum("own").over(inside), F.lit(0))).alias("below")
     )
 

@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 FEATURES = "features"
 
@@ -16,15 +17,15 @@ def column_statistics(df: DataFrame, num: Sequence[str], cat: Sequence[str]) ->
     """One row per column: rows, values present, mean and standard deviation
     after mean imputation (numeric), most frequent value (categorical).
 
-    One aggregate over all columns. The deviation divides by the number of
-    rows; the smallest value wins among equally frequent ones.
+    One aggregate over all columns, and one of the categorical values, which are
+    counted per (column, value). The deviation divides by the number of rows; the
+    smallest value wins among equally frequent ones.
     """
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in num:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n_{c}"), F.avg(x).alias(f"m_{c}"), F.var_pop(x).alias(f"v_{c}")]
-    for c in cat:
-        aggs += [F.count(c).alias(f"n_{c}"), F.mode(F.col(c), deterministic=True).cast("string").alias(f"t_{c}")]
+    aggs += [F.count(c).alias(f"n_{c}") for c in cat]
     wide = df.agg(*aggs)
     none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
     items = [
@@ -32,17 +33,33 @@ def column_statistics(df: DataFrame, num: Sequence[str], cat: Sequence[str]) ->
             F.lit(c).alias("column_name"), F.lit("num").alias("kind"), F.col("rows"), F.col(f"n_{c}").alias("present"),
             F.col(f"m_{c}").alias("mean"),
             F.sqrt(F.col(f"v_{c}") * F.col(f"n_{c}") / F.col("rows")).alias("std"),
-            none_s.alias("most_frequent"),
         )
         for c in num
     ] + [
         F.struct(
             F.lit(c).alias("column_name"), F.lit("cat").alias("kind"), F.col("rows"), F.col(f"n_{c}").alias("present"),
-            none_d.alias("mean"), none_d.alias("std"), F.col(f"t_{c}").alias("most_frequent"),
+            none_d.alias("mean"), none_d.alias("std"),
         )
         for c in cat
     ]
-    return wide.select(F.inline(F.array(*items)))
+    out = wide.select(F.inline(F.array(*items)))
+    if not cat:
+        return out.withColumn("most_frequent", none_s)
+    return out.join(_most_frequent(df, cat), "column_name", "left")
+
+
+def _most_frequent(df: DataFrame, cat: Sequence[str]) -> DataFrame:
+    """(column_name, most_frequent): numbers that are as frequent are compared as numbers."""
+    values = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
+            (F.col(c).cast("double") if isinstance(df.schema[c].dataType, NumericType) else F.lit(None).cast("double")).alias("number"),
+        )
+        for c in cat
+    ]
+    counts = df.select(F.inline(F.array(*values))).where("value IS NOT NULL").groupBy("column_name", "value", "number").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct((-F.col("n")).alias("less"), F.col("number"), F.col("value")))
+    return counts.groupBy("column_name").agg(first["value"].alias("most_frequent"))
 
 
 def fit_preprocess(df: DataFrame, num: Sequence[str], cat: Sequence[str]) -> PipelineModel:

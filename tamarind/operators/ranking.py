@@ -7,50 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_NULL_BIN = 1 << 40  # NULL ranks as the largest value
+from tamarind.session import cut_lineage
 
 
-def _value_bin(value: Column) -> Column:
-    v = value.cast("double")
-    step = F.floor(F.log2(1 + F.abs(v)) * 64) + 1
-    return (
-        F.when(v.isNull(), F.lit(_NULL_BIN))
-        .when(v == 0, F.lit(0))
-        .otherwise((F.signum(v) * step).cast("long"))
-        .cast("long")
-    )
+def in_ranges(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` dealt out in even ranges of ``order``, with the number of its range
+    as ``__part``. Written once, so that counts and ranks see the same ranges."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id())
+    return cut_lineage(dealt, "ranges")
 
 
 def rank_descending(df: DataFrame, group: Sequence[str], value: str, ties: Sequence[str]) -> DataFrame:
     """Add ``__rank`` (1 = largest) and ``__size`` of the group.
 
-    NULL ranks as the largest; ``ties`` decide between equal values. The group
-    is cut into order-preserving cells: value bins, and for the two values that
-    can repeat without bound (0 and NULL) prefixes of the first tie column.
-    Cells are counted first, then each row is ordered inside its own cell only.
+    NULL ranks as the largest; ``ties`` decide between equal values. Rows are
+    dealt out by ranges of group, value and ties, so that a value that repeats is
+    cut by its ties and no range grows beyond its share. Ranges are counted
+    first, then each row is ordered inside its own range only. The ranges are
+    written when the plan is built.
     """
-    heavy = F.col(value).isNull() | (F.col(value) == 0)
+    order = [F.col(value).desc_nulls_first(), *[F.col(t).asc() for t in ties]]
     # Groups are matched as one struct, so NULL group columns are values too.
-    cells = df.withColumns(
-        {
-            "__group": F.struct(*[F.col(g) for g in group]),
-            "__bin": _value_bin(F.col(value)),
-            "__cell": F.when(heavy, F.substring(F.col(ties[0]).cast("string"), 1, 4)).otherwise(F.lit("")),
-        }
-    ).withColumn("__cell", F.coalesce("__cell", F.lit("")))
-    place = ["__group", "__bin", "__cell"]
+    cells = in_ranges(df, *[F.col(g).asc() for g in group], *order).withColumn("__group", F.struct(*[F.col(g) for g in group]))
+    place = ["__group", "__part"]
     whole = Window.partitionBy("__group")
-    before = whole.orderBy(F.col("__bin").desc(), "__cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.groupBy(*place).agg(F.count(F.lit(1)).alias("__n")).select(
         *place,
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
         F.sum("__n").over(whole).alias("__size"),
     )
-    inside = Window.partitionBy(*place).orderBy(F.col(value).desc_nulls_first(), *ties)
+    inside = Window.partitionBy(*place).orderBy(*order)
     return (
         cells.join(offsets, place)
         .withColumn("__rank", F.col("__before") + F.row_number().over(inside))
-        .drop("__group", "__bin", "__cell", "__before")
+        .drop("__group", "__part", "__before")
     )
 
 
