@@ -59,8 +59,12 @@ def with_prior_orders(requests: DataFrame, core: DataFrame) -> DataFrame:
         flag(F.col("seen_first")).alias("prior_deliveries"),
         F.lit(None).cast("string").alias("mx_id"),
     )
+    # Requests without a consumer have no earlier orders; they need no window.
+    nobody = requests.where("consumer_id IS NULL").select(
+        "mx_id", "consumer_id", "requested_at", *[F.lit(0).cast("long").alias(c) for c in _RUNNING]
+    )
     # A request sorts before orders of the same instant: only earlier ones count.
-    asks = requests.select(
+    asks = requests.where("consumer_id IS NOT NULL").select(
         "consumer_id",
         F.col("requested_at").alias("at"),
         F.lit(0).alias("kind"),
@@ -81,12 +85,13 @@ def with_prior_orders(requests: DataFrame, core: DataFrame) -> DataFrame:
     before = days.select(
         "consumer_id", "day", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"b_{c}") for c in _RUNNING]
     )
-    return within.join(before, ["consumer_id", "day"], "left").select(
+    known = within.join(before, ["consumer_id", "day"], "left").select(
         "mx_id",
         "consumer_id",
         F.col("at").alias("requested_at"),
         *[(F.col(c) + F.coalesce(f"b_{c}", F.lit(0))).alias(c) for c in _RUNNING],
     )
+    return known.unionByName(nobody)
 
 
 def request_features(tables: Tables, anchors: DataFrame, anchor: str, windows: tuple) -> DataFrame:
@@ -95,7 +100,11 @@ def request_features(tables: Tables, anchors: DataFrame, anchor: str, windows: t
     cutoff, l84, l28 = windows
     keys = ["match_id", anchor]
     wanted = anchors.select(*keys).distinct()
-    requests = with_prior_orders(tables.store_requests, tables.core).withColumnRenamed("mx_id", "match_id")
+    # Nothing from the last cutoff on counts, nor do requests for other merchants.
+    end = wanted.agg(F.max(anchor).alias("last")).select(_midnight("last", cutoff)).scalar()
+    asked_for = wanted.select(F.col("match_id").alias("mx_id")).distinct()
+    requests = tables.store_requests.where(F.col("requested_at") < end).join(asked_for, "mx_id", "left_semi")
+    requests = with_prior_orders(requests, tables.core.where(F.col("created_at") < end)).withColumnRenamed("mx_id", "match_id")
     pairs = spread_join(requests, wanted, ["match_id"], by="consumer_id").where(
         F.col("requested_at") < _midnight(anchor, cutoff)
     )

@@ -111,6 +111,17 @@ def test_ranks_and_tiles_with_ties_nulls_and_a_hot_group(spark):
         assert [got[r[2]][1] for r in part] == want.tolist()
 
 
+def test_ranges_stay_even_when_one_value_fills_the_table(spark):
+    """Nine tenths of the rows have one value, the others lie in [0, 1], ids share a head."""
+    rng = random.Random(7)
+    rows = [("g", 0.25 if i % 10 else rng.random(), f"merchant-{i:06d}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double, id string")
+    parts = ranking.in_ranges(df, F.col("v").desc(), F.col("id").asc()).groupBy("__part").count().collect()
+    assert sum(r["count"] for r in parts) == len(rows) and max(r["count"] for r in parts) < len(rows) / 2  # of four ranges
+    got = {r["id"]: r["__rank"] for r in ranking.rank_descending(df, ["g"], "v", ["id"]).collect()}
+    assert [got[r[2]] for r in sorted(rows, key=lambda r: (-r[1], r[2]))] == list(range(1, len(rows) + 1))
+
+
 def test_small_groups_have_fewer_tiles(spark):
     df = spark.createDataFrame([("a", 3.0, "x"), ("a", None, "y"), ("a", 1.0, "z")], "g string, v double, id string")
     out = ranking.rank_descending(df, ["g"], "v", ["id"])
