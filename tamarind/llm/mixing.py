@@ -3,8 +3,9 @@
 Each document is repeated as often as a Poisson variable with its source's rate
 says. The variable is drawn by inverting the distribution at a number that a
 hash of the document's id and a seed gives, so a rerun repeats the same
-documents, and documents don't depend on each other. The copies are dealt out
-and ordered by another hash, a global shuffle.
+documents, and documents don't depend on each other. A large rate is drawn as a
+sum of variables of smaller rates, each at a hash of its own. The copies are
+dealt out and ordered by another hash, a global shuffle.
 
 DataFrame functions only.
 """
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 SEED = "mix-1"
 EXPONENT = 0.5  # of a source's size, where no weights are given
 EPOCHS = 1.0
+LARGEST = 500.0  # rate of one inverted variable; exp(-rate) is 0 in doubles from 746 on
 
 
-def uniform(key: Column, seed: str) -> Column:
-    """A number from 0 to 1 (1 excluded) of 52 bits."""
-    return F.conv(F.substring(F.md5(F.concat(key, F.lit(f"|{seed}"))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+def uniform(key: Column, seed: str, part: Column) -> Column:
+    """A number from 0 to 1 (1 excluded) of 52 bits; ``part`` counts the numbers of a key from 0 on."""
+    tail = F.when(part > 0, F.concat(F.lit("|"), part.cast("string"))).otherwise(F.lit(""))
+    return F.conv(F.substring(F.md5(F.concat(key, F.lit(f"|{seed}"), tail)), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, exponent: float = EXPONENT, epochs: float = EPOCHS) -> DataFrame:
@@ -64,10 +67,14 @@ def replicate(docs: DataFrame, rate: DataFrame, seed: str = SEED) -> DataFrame:
     their text. A rate of 0 leaves none.
     """
     key = F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("text:"), F.coalesce(docs["text"], F.lit(""))))
-    sums = rate.select(F.col("mix_source"), _cumulative(F.col("rate")).alias("mix_sums"), F.col("rate").alias("mix_rate"))
+    # A sum of independent Poisson variables is one of the summed rates.
+    parts = F.greatest(F.ceil(F.col("rate") / LARGEST), F.lit(1)).cast("int")
+    sums = rate.select("mix_source", F.col("rate").alias("mix_rate"), parts.alias("mix_parts"), _cumulative(F.col("rate") / parts).alias("mix_sums"))
     both = docs.join(sums, docs["source"].cast("string").eqNullSafe(F.col("mix_source")))
-    both = both.withColumn("mix_u", uniform(key, seed)).withColumn("mix_id", key)
-    count = F.when(F.col("mix_rate") > 0, F.size(F.filter("mix_sums", lambda p: p <= F.col("mix_u")))).otherwise(0)
+    numbers = F.transform(F.sequence(F.lit(0), F.col("mix_parts") - 1), lambda part: uniform(key, seed, part))
+    both = both.withColumn("mix_us", numbers).withColumn("mix_id", key)
+    drawn = F.aggregate("mix_us", F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("mix_sums", lambda p: p <= u)))
+    count = F.when(F.col("mix_rate") > 0, drawn).otherwise(0)
     both = both.withColumn("mix_copies", count.cast("long")).where("mix_copies > 0")
     both = both.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))))
     both = both.withColumn("mix_key", F.substring(F.md5(F.concat("mix_id", F.lit("|"), F.col("mix_copy").cast("string"), F.lit(f"|{seed}|order"))), 1, 16))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tamarind.llm import token_files
 from tamarind.llm.encoder import encoder, vocabulary_path
 from tamarind.llm.language import UNKNOWN, languages, profiles
-from tamarind.llm.mixing import mixture, rates
+from tamarind.llm.mixing import mixture, rates, replicate
 from tamarind.llm.token_files import scan_documents, token_counts
 from tamarind.llm.token_table import token_digests, write_tokens
 from tamarind.llm.tool_calls import SCHEMAS, canonical, errors_of, levels, link_calls
@@ -117,6 +117,18 @@ def test_mixture_odd_input(docs):
     assert mixture(docs([(None, "x", None, "a"), (None, "x", None, "a")]), epochs=3.0).count() % 2 == 0
 
 
+def test_mixture_of_large_rates(spark, docs):
+    wanted = {"a": 1000.0, "b": 720.0, None: 2600.5}
+    df = docs([(i, "x", "en", s) for i, s in enumerate([*wanted] * 200)])
+    rate = spark.createDataFrame(list(wanted.items()), "mix_source string, rate double")
+    out = replicate(df, rate)
+    seen = out.groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.countDistinct("mix_copy").alias("copies"), F.max("mix_copies").alias("most")).toPandas()
+    assert len(seen) == 600 and (seen.n == seen.copies).all() and (seen.n == seen.most).all()
+    for source, r in wanted.items():
+        n = seen.n[seen.source.isna() if source is None else seen.source == source]
+        assert abs(n.mean() - r) < 4 * (r / 200) ** 0.5 and 0.6 * r < n.var() < 1.4 * r
+
+
 def sentences(n, seed=1):
     rng = np.random.default_rng(seed)
     out = []
