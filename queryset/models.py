@@ -1,7 +1,6 @@
 """Preparation, training, registry, scoring and agreement.
 
-Trees are kept few and shallow here: the queries show the jobs, the settings
-of the real models are in ``tamarind.ml.segments``.
+Every fit has the settings of its segment in ``tamarind.ml.segments``.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from tamarind.plans.assembly import Dataset
 from tamarind.session import cut_lineage, scratch_path
 from tamarind.sources import publish
 
-SMALL = dict(maxIter=2, maxDepth=2, maxBins=64)
 COHORT_DAY = "1998-07-15"
 AOV_DAY = "1998-12-15"
 
@@ -137,7 +135,7 @@ for _segment in segments.SEGMENTS:
     @query(f"l02_fit_and_predict_{_segment}")
     def _(t, segment=_segment):
         rows = cut_lineage(training_rows(t, segment), "training")
-        s = segments.spec(segment, **SMALL)
+        s = segments.spec(segment)
         fitted = learners.fit_segment(s, rows)
         return learners.predict_with_actual(fitted, rows)
 
@@ -147,7 +145,7 @@ for _version in ("v0", "v1", "v2"):
     @query(f"l03_aov_{_version}_fit_and_predict")
     def _(t, version=_version):
         rows = cut_lineage(aov_rows(t, "nn", version), "training")
-        return learners.predict_with_actual(learners.fit_segment(segments.spec("nn", version, **SMALL), rows), rows)
+        return learners.predict_with_actual(learners.fit_segment(segments.spec("nn", version), rows), rows)
 
 
 def _split_sql(test: str) -> str:
@@ -191,7 +189,7 @@ def _(t):
 def _(t):
     rows = cut_lineage(training_rows(t, "da"), "training")
     fit, dev, _ = split.split_by_date(rows, "min_active_date", "1998-06-30", "1998-10-31", "1999-03-31")
-    fitted = learners.fit_segment(segments.spec("da", **{**SMALL, "maxIter": 6}), fit, dev)
+    fitted = learners.fit_segment(segments.spec("da"), fit, dev)
     grown = F.lit(fitted.learner.getNumTrees).alias("trees")
     return learners.predict_with_actual(fitted, dev).select("match_id", "pred", grown)
 
@@ -219,7 +217,7 @@ def _(t):
 def _(t):
     rows = cut_lineage(training_rows(t, "ac"), "training")
     parts = split.split_by_date(rows, "min_active_date", "1998-06-30", "1998-10-31", "1999-03-31")
-    fitted = learners.refit(segments.spec("ac", **SMALL), parts[0], parts[1])
+    fitted = learners.refit(segments.spec("ac"), parts[0], parts[1])
     return learners.predict_with_actual(fitted, parts[2])
 
 
@@ -268,7 +266,7 @@ def _(t):
 def _(t):
     reg = _registry(t)
     rows = training_rows(t, "da")
-    specs = {"da": segments.spec("da", **SMALL)}
+    specs = {"da": segments.spec("da")}
     cuts = ("1998-06-30", "1998-10-31", "1999-03-31")
     train.train_run(reg, {"da": cut_lineage(rows, "training")}, specs, cuts, "_test")
     found = F.col("metrics")
@@ -282,7 +280,7 @@ def _(t):
 def _(t):
     reg = _registry(t)
     rows = cut_lineage(training_rows(t, "ac"), "training")
-    specs = {"ac": segments.spec("ac", **SMALL)}
+    specs = {"ac": segments.spec("ac")}
     train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test", report=False)
     reg.set_stage("ac_ml_model_test", 1, registry.PRODUCTION)
     return score.forecast(reg, rows, "ac", suffix="_test", pinned=1)
@@ -292,7 +290,7 @@ def _(t):
 def _(t):
     reg = _registry(t)
     rows = {s: cut_lineage(training_rows(t, s), "training") for s in segments.SEGMENTS}
-    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False, **SMALL)
+    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False)
     return reg.entries().select("name", "version", "stage", F.col("metrics")["bias"].alias("bias"))
 
 
@@ -302,14 +300,14 @@ for _version in ("v0", "v2"):
     def _(t, version=_version):
         reg = _registry(t)
         rows = {s: cut_lineage(aov_rows(t, s, version), "training") for s in ("nn", "da")}
-        return train.train_aov(reg, rows, AOV_DAY, version, "_test", report=False, **SMALL)
+        return train.train_aov(reg, rows, AOV_DAY, version, "_test", report=False)
 
 
 @query("l15_predictions_by_cohort")
 def _(t):
     reg = _registry(t)
     rows = {"ac": cut_lineage(training_rows(t, "ac"), "training")}
-    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False, **SMALL)
+    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False)
     return score.predictions_by_cohort(reg, {"ac": cut_lineage(q_assembly.scoring(t, "ac"), "scoring")}, "_test")
 
 
@@ -317,7 +315,7 @@ def _(t):
 def _(t):
     reg = _registry(t)
     rows = cut_lineage(aov_rows(t, "nn", "v2"), "training")
-    train.train_aov(reg, {"nn": rows}, AOV_DAY, "v2", "_test", report=False, **SMALL)
+    train.train_aov(reg, {"nn": rows}, AOV_DAY, "v2", "_test", report=False)
     return score.predictions_aov(reg, {"nn": q_assembly.scoring(t, "nn", "v2")}, "v2", "_test")
 
 
@@ -325,7 +323,7 @@ def _(t):
 def _(t):
     reg = _registry(t)
     rows = cut_lineage(training_rows(t, "ac"), "training")
-    specs = {"ac": segments.spec("ac", **SMALL)}
+    specs = {"ac": segments.spec("ac")}
     train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test", report=False)
     features = cut_lineage(q_assembly.scoring(t, "ac"), "scoring")
 
