@@ -267,24 +267,24 @@ FROM nn_rows x LEFT JOIN ws ON ws.submarket_id = x.submarket_id LEFT JOIN wp ON
 LEFT JOIN feats f ON f.match_id = x.match_id {joins}""", steps
 
 
-def scoring_inputs(t, segment: str, aov: bool):
+def scoring_inputs(t, segment: str, aov: bool, day: str):
     if segment == "nn":
-        rows = scoring_features.nn_features(t, DAY, aov)
+        rows = scoring_features.nn_features(t, day, aov)
     else:
-        rows = scoring_features.danp_features(t, DAY, aov, HISTORY, SNAPSHOTS)
+        rows = scoring_features.danp_features(t, day, aov, HISTORY, SNAPSHOTS)
     rows = cut_lineage(rows, "feature-rows")
-    return rows, search.daily_table(t, rows, [DAY])
+    return rows, search.daily_table(t, rows, [day])
 
 
-def scoring(t, segment: str, version: str | None = None):
+def scoring(t, segment: str, version: str | None = None, day: str = DAY):
     t = t.written("deliveries")
-    rows, found = scoring_inputs(t, segment, version is not None)
+    rows, found = scoring_inputs(t, segment, version is not None, day)
     if version is not None:
-        return assembly.aov_scoring_set(t, segment, version, DAY, rows, found)
+        return assembly.aov_scoring_set(t, segment, version, day, rows, found)
     weeks = (None, None)
     if segment == "nn":
-        weeks = (geography.week_stats(t, [DAY], "submarket"), geography.week_stats(t, [DAY], "starting_point"))
-    return assembly.scoring_set(t, segment, DAY, rows, found, *weeks)
+        weeks = (geography.week_stats(t, [day], "submarket"), geography.week_stats(t, [day], "starting_point"))
+    return assembly.scoring_set(t, segment, day, rows, found, *weeks)
 
 
 for _segment in ("nn", "ac", "da"):

@@ -6,12 +6,14 @@ Every fit has the settings of its segment in ``tamarind.ml.segments``.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queryset import assembly as q_assembly
 from queryset.assembly import HISTORY
-from queryset.base import CHECKS, DAY, query
+from queryset.base import CHECKS, DAY, DAYS, query
 from queryset.features import CORE, LATEST_DANP
 from queryset.labels import DANP_AGE, END, FROM, START
 from queryset.population import SNAPSHOTS
@@ -23,6 +25,8 @@ from tamarind.sources import publish
 
 COHORT_DAY = "1998-07-15"
 AOV_DAY = "1998-12-15"
+AOV_VERSIONS = ("v0", "v1", "v2")
+CUTS = ("1998-06-30", "1998-10-31", "1999-03-31")
 
 # Preparation -----------------------------------------------------------------
 
@@ -84,6 +88,24 @@ def aov_rows(t, segment: str, version: str):
     )
 
 
+def _trained_on(t) -> dict[str, DataFrame]:
+    """The training rows of each segment, written once."""
+    return {s: cut_lineage(training_rows(t, s), "training") for s in segments.SEGMENTS}
+
+
+def _aov_trained_on(t, version: str) -> dict[str, DataFrame]:
+    return {s: cut_lineage(aov_rows(t, s, version), "training") for s in segments.SEGMENTS}
+
+
+def _scored(t, version: str | None = None, day: str = DAY) -> dict[str, DataFrame]:
+    """The scoring set of each segment, written once."""
+    return {s: cut_lineage(q_assembly.scoring(t, s, version, day), "scoring") for s in segments.SEGMENTS}
+
+
+def _union(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _registry(t) -> registry.ModelRegistry:
     spark = t.deliveries.sparkSession
     return registry.ModelRegistry(spark, scratch_path(spark, "models"))
@@ -117,14 +139,16 @@ for _segment in segments.SEGMENTS:
         return Dataset(segment, lambda: q_assembly.scoring(t, segment), list(columns)).load()
 
 
-for _version in ("v0", "v1", "v2"):
+for _version in AOV_VERSIONS:
+    for _segment in segments.SEGMENTS:
 
-    @query(f"l16_load_aov_{_version}")
-    def _(t, version=_version):
-        s = segments.spec("ac", version)
-        return Dataset(
-            "ac", lambda: aov_rows(t, "ac", version), s.training_columns, ["activation_date"]
-        ).load()
+        # The loader of ac goes by the version alone.
+        @query(f"l16_load_aov_{_version}" + ("" if _segment == "ac" else f"_{_segment}"))
+        def _(t, segment=_segment, version=_version):
+            s = segments.spec(segment, version)
+            return Dataset(
+                segment, lambda: aov_rows(t, segment, version), s.training_columns, ["activation_date"]
+            ).load()
 
 
 # Fitting ---------------------------------------------------------------------
@@ -140,12 +164,14 @@ for _segment in segments.SEGMENTS:
         return learners.predict_with_actual(fitted, rows)
 
 
-for _version in ("v0", "v1", "v2"):
+for _version in AOV_VERSIONS:
 
     @query(f"l03_aov_{_version}_fit_and_predict")
     def _(t, version=_version):
-        rows = cut_lineage(aov_rows(t, "nn", version), "training")
-        return learners.predict_with_actual(learners.fit_segment(segments.spec("nn", version), rows), rows)
+        return _union(
+            learners.predict_with_actual(learners.fit_segment(segments.spec(s, version), rows), rows)
+            for s, rows in _aov_trained_on(t, version).items()
+        )
 
 
 def _split_sql(test: str) -> str:
@@ -187,11 +213,13 @@ def _(t):
 
 @query("l06_fit_with_early_stop")
 def _(t):
-    rows = cut_lineage(training_rows(t, "da"), "training")
-    fit, dev, _ = split.split_by_date(rows, "min_active_date", "1998-06-30", "1998-10-31", "1999-03-31")
-    fitted = learners.fit_segment(segments.spec("da"), fit, dev)
-    grown = F.lit(fitted.learner.getNumTrees).alias("trees")
-    return learners.predict_with_actual(fitted, dev).select("match_id", "pred", grown)
+    out = []
+    for s, rows in _trained_on(t).items():
+        fit, dev, _ = split.split_by_date(rows, "min_active_date", *CUTS)
+        fitted = learners.fit_segment(segments.spec(s), fit, dev)
+        grown = F.lit(fitted.learner.getNumTrees).alias("trees")
+        out.append(learners.predict_with_actual(fitted, dev).select("match_id", "pred", "model", grown))
+    return _union(out)
 
 
 DEV_DAYS = dt.date(1998, 5, 1)
@@ -215,10 +243,11 @@ def _(t):
 
 @query("l08_refit_and_predict")
 def _(t):
-    rows = cut_lineage(training_rows(t, "ac"), "training")
-    parts = split.split_by_date(rows, "min_active_date", "1998-06-30", "1998-10-31", "1999-03-31")
-    fitted = learners.refit(segments.spec("ac"), parts[0], parts[1])
-    return learners.predict_with_actual(fitted, parts[2])
+    out = []
+    for s, rows in _trained_on(t).items():
+        fit, dev, test = split.split_by_date(rows, "min_active_date", *CUTS)
+        out.append(learners.predict_with_actual(learners.refit(segments.spec(s), fit, dev), test))
+    return _union(out)
 
 
 # Agreement -------------------------------------------------------------------
@@ -265,10 +294,7 @@ def _(t):
 @query("l10_train_and_register")
 def _(t):
     reg = _registry(t)
-    rows = training_rows(t, "da")
-    specs = {"da": segments.spec("da")}
-    cuts = ("1998-06-30", "1998-10-31", "1999-03-31")
-    train.train_run(reg, {"da": cut_lineage(rows, "training")}, specs, cuts, "_test")
+    train.train_run(reg, _trained_on(t), segments.specs(), CUTS, "_test")
     found = F.col("metrics")
     return reg.entries().select(
         "name", "version", "stage", found["r2"].alias("r2"), found["dev_spearman"].alias("dev_spearman"),
@@ -279,58 +305,50 @@ def _(t):
 @query("l12_forecast_sales")
 def _(t):
     reg = _registry(t)
-    rows = cut_lineage(training_rows(t, "ac"), "training")
-    specs = {"ac": segments.spec("ac")}
-    train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test", report=False)
-    reg.set_stage("ac_ml_model_test", 1, registry.PRODUCTION)
-    return score.forecast(reg, rows, "ac", suffix="_test", pinned=1)
+    train.train_run(reg, _trained_on(t), segments.specs(), CUTS, "_test")
+    for s in segments.SEGMENTS:
+        reg.set_stage(f"{s}_ml_model_test", 1, registry.PRODUCTION)
+    return _union(score.forecast(reg, rows, s, suffix="_test", pinned=1) for s, rows in _scored(t).items())
 
 
 @query("l13_train_cohort")
 def _(t):
     reg = _registry(t)
-    rows = {s: cut_lineage(training_rows(t, s), "training") for s in segments.SEGMENTS}
-    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False)
+    train.train_cohort(reg, _trained_on(t), COHORT_DAY, "_test")
     return reg.entries().select("name", "version", "stage", F.col("metrics")["bias"].alias("bias"))
 
 
-for _version in ("v0", "v2"):
+for _version in AOV_VERSIONS:
 
     @query(f"l14_train_aov_{_version}")
     def _(t, version=_version):
-        reg = _registry(t)
-        rows = {s: cut_lineage(aov_rows(t, s, version), "training") for s in ("nn", "da")}
-        return train.train_aov(reg, rows, AOV_DAY, version, "_test", report=False)
+        return train.train_aov(_registry(t), _aov_trained_on(t, version), AOV_DAY, version, "_test")
 
 
 @query("l15_predictions_by_cohort")
 def _(t):
     reg = _registry(t)
-    rows = {"ac": cut_lineage(training_rows(t, "ac"), "training")}
-    train.train_cohort(reg, rows, COHORT_DAY, "_test", report=False)
-    return score.predictions_by_cohort(reg, {"ac": cut_lineage(q_assembly.scoring(t, "ac"), "scoring")}, "_test")
+    train.train_cohort(reg, _trained_on(t), COHORT_DAY, "_test")
+    return score.predictions_by_cohort(reg, _scored(t), "_test")
 
 
 @query("l15_predictions_aov")
 def _(t):
-    reg = _registry(t)
-    rows = cut_lineage(aov_rows(t, "nn", "v2"), "training")
-    train.train_aov(reg, {"nn": rows}, AOV_DAY, "v2", "_test", report=False)
-    return score.predictions_aov(reg, {"nn": q_assembly.scoring(t, "nn", "v2")}, "v2", "_test")
+    out = []
+    for version in AOV_VERSIONS:
+        reg = _registry(t)
+        train.train_aov(reg, _aov_trained_on(t, version), AOV_DAY, version, "_test")
+        out.append(score.predictions_aov(reg, _scored(t, version), version, "_test"))
+    return _union(out)
 
 
 @query("a15_backfill_predictions")
 def _(t):
     reg = _registry(t)
-    rows = cut_lineage(training_rows(t, "ac"), "training")
-    specs = {"ac": segments.spec("ac")}
-    train.train_run(reg, {"ac": rows}, specs, ("1998-06-30", "1998-10-31", "1999-03-31"), "_test", report=False)
-    features = cut_lineage(q_assembly.scoring(t, "ac"), "scoring")
+    train.train_run(reg, _trained_on(t), segments.specs(), CUTS, "_test")
 
     def scorer(day):
-        if day != dt.date.fromisoformat(DAY):
-            return None
-        return score.forecast(reg, features, "ac", suffix="_test")
+        return _union(score.forecast(reg, rows, s, suffix="_test") for s, rows in _scored(t, day=day.isoformat()).items())
 
     root = scratch_path(t.deliveries.sparkSession, "predictions")
-    return publish.publish_predictions(scorer, [DAY, "1998-06-02"], f"{root}-raw", f"{root}-deduped")[1]
+    return publish.publish_predictions(scorer, DAYS, f"{root}-raw", f"{root}-deduped")[1]

@@ -1,4 +1,4 @@
-"""The registered model queries fit with the real settings; fits and scoring are stubbed."""
+"""The registered model queries fit with the real settings, for every segment; fits and scoring are stubbed."""
 
 import datetime as dt
 from types import SimpleNamespace
@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from queryset import models
-from queryset.base import QUERIES
+from queryset.base import DAY, DAYS, QUERIES
 from tamarind.ml import learners, metrics, score, segments
 from tamarind.sources import publish
 
@@ -44,7 +44,7 @@ def seen(spark, monkeypatch):
     monkeypatch.setattr("tamarind.ml.train.cut_lineage", lambda df, label="": df)
     monkeypatch.setattr(models, "training_rows", lambda t, s: rows.withColumn("set", F.lit("training")))
     monkeypatch.setattr(models, "aov_rows", lambda t, s, v: rows.withColumn("set", F.lit("training")))
-    monkeypatch.setattr(models.q_assembly, "scoring", lambda t, s, v=None: rows.withColumn("set", F.lit("scoring")))
+    monkeypatch.setattr(models.q_assembly, "scoring", lambda t, s, v=None, day=None: rows.withColumn("set", F.lit(f"scoring {day}")))
     monkeypatch.setattr(learners, "fit_segment", fit)
     monkeypatch.setattr(learners, "predict_with_actual", lambda fitted, df: predicted.withColumn("model", F.lit(fitted.spec.segment)))
     monkeypatch.setattr(metrics, "agreement", agreement)
@@ -64,3 +64,35 @@ def test_fits_have_the_real_settings(seen, name):
     assert seen.fits
     for spec in seen.fits:
         assert spec == segments.spec(spec.segment, spec.version)
+
+
+SCORED = [n for n in FITS if n.startswith(("l12_", "l15_", "a15_"))]
+REPORTED = [n for n in FITS if n.startswith(("l10_", "l13_", "l14_")) or n in SCORED]
+
+
+@pytest.mark.parametrize("name", [n for n in FITS if not n.startswith("l02_")])
+def test_fits_cover_every_segment(seen, name):
+    QUERIES[name](seen.t)
+    versions = {s.version for s in seen.fits}
+    assert {(s.segment, s.version) for s in seen.fits} == {(s, v) for s in segments.SEGMENTS for v in versions}
+    if name == "l15_predictions_aov":
+        assert versions == {"v0", "v1", "v2"}
+    if name in REPORTED:  # two fits and three reports for each model
+        assert seen.reports * 2 == len(seen.fits) * 3
+
+
+@pytest.mark.parametrize("name", SCORED)
+def test_scoring_sets_of_every_segment_are_scored(seen, name):
+    QUERIES[name](seen.t)
+    sets = {(s, data.select("set").first()[0]) for s, _, _, data in seen.scored}
+    days = DAYS if name.startswith("a15_") else [DAY]
+    assert sets == {(s, f"scoring {d}") for s in segments.SEGMENTS for d in days}
+    if name == "l15_predictions_by_cohort":
+        assert len(seen.scored) == 2 * len(segments.SEGMENTS)
+    if name.startswith("a15_"):
+        assert [d for d, rows in seen.days if rows is not None] == DAYS
+
+
+def test_order_value_models_and_loaders_of_every_version():
+    assert {f"l14_train_aov_{v}" for v in ("v0", "v1", "v2")} <= set(QUERIES)
+    assert {f"l16_load_aov_{v}{s}" for v in ("v0", "v1", "v2") for s in ("", "_nn", "_da")} <= set(QUERIES)
