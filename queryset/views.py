@@ -101,17 +101,19 @@ SELECT CAST(l.l_shipdate AS DATE) AS date_stamp, l.l_suppkey AS store_id, max(s.
        max(CASE WHEN l.l_returnflag = 'A' THEN 1 ELSE 0 END) AS partner_eop
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey GROUP BY l.l_suppkey, CAST(l.l_shipdate AS DATE)""",
     "store_deactivations": """
-SELECT l_orderkey AS id, l_suppkey AS store_id, max(l_shipdate) AS created_at,
+SELECT l_orderkey AS id, CASE WHEN max(l_shipdate) < TIMESTAMP '1998-06-15 00:00:00' THEN l_suppkey END AS store_id,
+       max(l_shipdate) AS created_at,
        CAST(max(l_linenumber) % 4 AS BIGINT) AS reason_id, max(l_returnflag) AS notes
-FROM {lineitem} WHERE l_quantity > 40 AND l_shipdate < TIMESTAMP '1998-06-15 00:00:00' GROUP BY l_suppkey, l_orderkey""",
+FROM {lineitem} GROUP BY l_suppkey, l_orderkey""",
     "deact_react": """
 SELECT s_suppkey AS store_id, DATE '1998-01-01' + CAST(s_suppkey % 120 AS INT) AS most_recent_deact FROM {supplier}""",
     "external_stores": """
-SELECT s_suppkey AS store_id, concat('v1-', CAST(s_suppkey AS STRING)) AS external_id,
+SELECT CASE WHEN s_suppkey % 6 <> 5 THEN s_suppkey END AS store_id,
+       concat(CASE WHEN s_suppkey % 6 = 5 THEN 'x1-' ELSE 'v1-' END, CAST(s_suppkey AS STRING)) AS external_id,
        s_suppkey % 25 AS starting_point_id,
        CASE s_suppkey % 8 WHEN 0 THEN 'Bar' WHEN 1 THEN 'Pizza Place' WHEN 2 THEN NULL WHEN 3 THEN 'Food Court'
             ELSE 'Diner' END AS cuisine_type
-FROM {supplier} WHERE s_suppkey % 6 <> 5""",
+FROM {supplier}""",
     "markets": """
 SELECT CAST(r_regionkey AS BIGINT) AS id,
        CASE r_regionkey WHEN 0 THEN 'America/New_York' WHEN 1 THEN 'America/Denver' WHEN 2 THEN 'Asia/Tokyo'
@@ -124,7 +126,7 @@ SELECT CAST(n_nationkey AS BIGINT) AS submarket_id, CAST(n_regionkey % 3 + 1 AS
 SELECT CASE WHEN l.l_returnflag = 'N' THEN concat('c', CAST(l.l_partkey AS STRING))
             ELSE concat('s', CAST(l.l_suppkey AS STRING)) END AS mx_id,
        o.o_custkey AS consumer_id, o.o_orderdate AS requested_at
-FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey WHERE l.l_linenumber <= 2""",
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey""",
     "search_counts": """
 SELECT CASE WHEN event_type = 'error' THEN NULL WHEN event_id % 2 = 0 THEN concat('s', CAST(user_id AS STRING))
             ELSE concat('c', CAST(user_id AS STRING)) END AS store_id,
@@ -157,16 +159,16 @@ SELECT concat('s', CAST(CAST(floor(p_partkey / 20.0) AS BIGINT) AS STRING)) AS m
        p_size % 9 AS credit_score_rating_encoded
 FROM {part}
 UNION ALL
-SELECT concat('c', CAST(p_partkey AS STRING)), CAST(NULL AS BIGINT), CAST(p_size AS DOUBLE), p_retailprice / 10.0,
+SELECT concat(CASE WHEN p_partkey % 4 = 3 THEN 'x' ELSE 'c' END, CAST(p_partkey AS STRING)), CAST(NULL AS BIGINT), CAST(p_size AS DOUBLE), p_retailprice / 10.0,
        CAST(p_size % 5 AS DOUBLE), CAST(p_size % 7 AS DOUBLE),
        CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_size / 10.0 END, p_retailprice, CAST(p_size % 4 AS DOUBLE),
        CAST(p_partkey % 9 AS DOUBLE), CASE p_partkey % 8 WHEN 7 THEN 2 WHEN 5 THEN NULL ELSE 0 END, p_brand,
        p_size % 6, p_size % 8, p_partkey % 4, p_partkey % 3, p_size % 3, p_size % 2, p_partkey % 5, p_size % 5,
        p_partkey % 6, p_partkey % 7, p_size % 9
-FROM {part} WHERE p_partkey % 4 <> 3""",
+FROM {part}""",
     "label_nn": _loads("""
-SELECT concat('s', CAST(s.s_suppkey AS STRING)) AS match_id,
-       CASE WHEN s.s_suppkey % 15 = 9 THEN NULL ELSE s.s_suppkey END AS store_id,
+SELECT concat(CASE WHEN (s.s_suppkey + #) % 4 = 0 THEN 'x' ELSE 's' END, CAST(s.s_suppkey AS STRING)) AS match_id,
+       CASE WHEN s.s_suppkey % 15 = 9 OR (s.s_suppkey + #) % 4 = 0 THEN NULL ELSE s.s_suppkey END AS store_id,
        concat('CHAIN ', CAST(s.s_suppkey % 12 AS STRING)) AS restaurant_name,
        CASE WHEN s.s_suppkey % 3 = 0 THEN NULL ELSE concat('v1-', CAST(s.s_suppkey AS STRING)) END AS vendor_1_id,
        s.s_suppkey % 25 AS starting_point_id, CAST(s.s_nationkey AS BIGINT) AS submarket_id,
@@ -174,9 +176,10 @@ SELECT concat('s', CAST(s.s_suppkey AS STRING)) AS match_id,
        DATE '1997-12-01' + CAST((s.s_suppkey * 13) % 240 AS INT) AS first_partner_order_date,
        CASE WHEN s.s_suppkey % 6 = 1 THEN NULL ELSE s.s_acctbal END AS actual,
        DATE '1998-05-01' + 45 * # AS create_date
-FROM {supplier} s WHERE (s.s_suppkey + #) % 4 <> 0""", 2),
+FROM {supplier} s""", 2),
     "label_danp": _loads("""
-SELECT s.s_suppkey AS store_id, concat('s', CAST(s.s_suppkey AS STRING)) AS match_id,
+SELECT CASE WHEN (s.s_suppkey + #) % 5 <> 0 THEN s.s_suppkey END AS store_id,
+       concat(CASE WHEN (s.s_suppkey + #) % 5 = 0 THEN 'x' ELSE 's' END, CAST(s.s_suppkey AS STRING)) AS match_id,
        CASE WHEN s.s_suppkey % 3 = 0 THEN NULL ELSE concat('v1-', CAST(s.s_suppkey AS STRING)) END AS vendor_1_id,
        s.s_name AS store_name, concat('CHAIN ', CAST(s.s_suppkey % 12 AS STRING)) AS external_store_name,
        CAST(floor(s.s_suppkey / 5.0) AS BIGINT) AS business_id, s.s_suppkey % 25 AS starting_point_id,
@@ -191,10 +194,11 @@ SELECT s.s_suppkey AS store_id, concat('s', CAST(s.s_suppkey AS STRING)) AS matc
        s.s_suppkey % 60 AS num_days_deactive, s.s_suppkey % 90 AS num_days_since_reactivation,
        CASE WHEN s.s_suppkey % 8 = 1 THEN NULL ELSE s.s_acctbal + 10 END AS actual,
        DATE '1998-05-01' + 45 * # AS create_date
-FROM {supplier} s WHERE (s.s_suppkey + #) % 5 <> 0""", 2),
+FROM {supplier} s""", 2),
     "prior_danp_inputs": """
-SELECT CASE WHEN c_custkey % 8 = 2 THEN NULL ELSE concat('c', CAST(c_custkey AS STRING)) END AS match_id
-FROM {customer} WHERE c_custkey % 4 = 2""",
+SELECT CASE WHEN c_custkey % 8 = 2 THEN NULL
+            ELSE concat(CASE WHEN c_custkey % 4 = 2 THEN 'c' ELSE 'x' END, CAST(c_custkey AS STRING)) END AS match_id
+FROM {customer}""",
     "enterprise_merchants": """
 SELECT sub_id, sp_id, restaurant_name, store_id FROM {registry} WHERE national = 1""",
     "business_groups": """
@@ -204,11 +208,11 @@ FROM {supplier}""",
     "business_group_links": """
 SELECT CAST(floor(s_suppkey / 10.0) AS BIGINT) AS business_id, s_suppkey AS business_group_id FROM {supplier}""",
     "poor_activations": """
-SELECT concat('s', CAST(s_suppkey AS STRING)) AS match_id FROM {supplier} WHERE s_suppkey % 9 = 1""",
+SELECT concat(CASE WHEN s_suppkey % 9 = 1 THEN 's' ELSE 'x' END, CAST(s_suppkey AS STRING)) AS match_id FROM {supplier}""",
     "premium_flags": """
-SELECT s_suppkey AS store_id, s_suppkey % 2 AS premium FROM {supplier} WHERE s_suppkey % 10 <> 8""",
+SELECT CASE WHEN s_suppkey % 10 <> 8 THEN s_suppkey END AS store_id, s_suppkey % 2 AS premium FROM {supplier}""",
     "order_values": """
-SELECT s_suppkey AS store_id, s_acctbal / 10.0 AS subtotal_per_order FROM {supplier} WHERE s_suppkey % 10 <> 7""",
+SELECT CASE WHEN s_suppkey % 10 <> 7 THEN s_suppkey END AS store_id, s_acctbal / 10.0 AS subtotal_per_order FROM {supplier}""",
     "aov_label_nn": """
 SELECT match_id, store_id, CASE WHEN vendor_1_id IS NULL THEN 'not_requestable' ELSE 'requestable' END AS requestable,
        starting_point_id, submarket_id, store_activation_date,
