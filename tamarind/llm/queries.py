@@ -12,6 +12,7 @@ import corpus_pipeline
 from tamarind.llm.decontaminate import contaminated
 from tamarind.llm.fingerprint import fingerprints
 from tamarind.llm.language import languages
+from tamarind.llm.middle import fill_in_middle, restored
 from tamarind.llm.mixing import mixture
 from tamarind.llm.near_dup import near_duplicates
 from tamarind.llm.repeats import remove_repeats
@@ -194,6 +195,33 @@ def op6(spark, sf_dir):
     return link_calls(calls, results, SCHEMAS)
 
 
+@query(
+    "op13_fill_in_middle",
+    r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || doc_id) AS h FROM documents
+), k AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+  SELECT *, left(text, least(c1, c2)) AS pre, substring(text, least(c1, c2) + 1, abs(c1 - c2)) AS mid, substring(text, greatest(c1, c2) + 1) AS suf FROM k
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(c1, c2) END AS prefix_chars, CASE WHEN form <> 'plain' THEN abs(c1 - c2) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+""",
+)
+def op13(spark, sf_dir):
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(restored("output", "form")).alias("restored_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
