@@ -58,10 +58,13 @@ class Encoder:
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, self.type)
 
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        return _cuts(data)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text."""
         first = offsets[:-1][np.diff(offsets) > 0]
-        starts = np.union1d(_cuts(data), first)
+        starts = np.union1d(self.cuts(data), first)
         if not len(starts):
             return self.ids[:0], np.zeros(len(offsets) - 1, np.int64)
         ends = np.append(starts[1:], len(data))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tamarind.llm.alignment import alignment
 from tamarind.llm.decontaminate import contaminated
 from tamarind.llm.fingerprint import fingerprints
 from tamarind.llm.language import languages
@@ -222,6 +223,11 @@ def op13(spark, sf_dir):
     )
 
 
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
