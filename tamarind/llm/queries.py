@@ -17,6 +17,7 @@ from tamarind.llm.middle import fill_in_middle, restored
 from tamarind.llm.mixing import mixture
 from tamarind.llm.near_dup import near_duplicates
 from tamarind.llm.repeats import remove_repeats
+from tamarind.llm.secrets import find_secrets
 from tamarind.llm.token_files import token_counts
 from tamarind.llm.token_table import token_digests, write_tokens
 from tamarind.llm.tool_calls import SCHEMAS, calls_of, link_calls
@@ -223,6 +224,16 @@ def op13(spark, sf_dir):
     )
 
 
+@query("op11_secrets")
+def op11(spark, sf_dir):
+    out = find_secrets(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("spans", lambda s: s.kind.isin(*kinds))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex", "net")]
+    base = F.sha2(joined(of("assign", "access", "hex")).cast("binary"), 256).alias("base_sha256")
+    return out.select("doc_id", *counts, base, joined("spans").alias("spans"))
+
+
 @query("op12_token_alignment")
 def op12(spark, sf_dir):
     return alignment(table(spark, sf_dir, "documents"))
