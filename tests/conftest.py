@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -15,14 +14,6 @@ def spark():
     return local_session("tests", "8", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"})
 
 
-def day(text):
-    return dt.date.fromisoformat(text)
-
-
-def at(text):
-    return dt.datetime.fromisoformat(text)
-
-
 @pytest.fixture(scope="session")
 def frame(spark):
     """A logical table from dicts; columns not given are NULL."""

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import at, day
+from moments import at, day
 from pyspark.sql import functions as F
 
 from tamarind.ml.split import enterprise_rows, local_rows, split_by_date

@@ -3,7 +3,7 @@
 from types import SimpleNamespace
 
 import pytest
-from conftest import day
+from moments import day
 
 from tamarind.operators.asof import pair_in_window
 from tamarind.plans import search
