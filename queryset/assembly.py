@@ -278,7 +278,10 @@ def scoring_inputs(t, segment: str, aov: bool, day: str):
 
 def scoring(t, segment: str, version: str | None = None, day: str = DAY):
     t = t.written("deliveries")
-    rows, found = scoring_inputs(t, segment, version is not None, day)
+    return scoring_of(t, segment, version, day, *scoring_inputs(t, segment, version is not None, day))
+
+
+def scoring_of(t, segment: str, version: str | None, day: str, rows, found):
     if version is not None:
         return assembly.aov_scoring_set(t, segment, version, day, rows, found)
     weeks = (None, None)

@@ -6,7 +6,7 @@ Every fit has the settings of its segment in ``tamarind.ml.segments``.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,8 @@ from queryset.features import CORE, LATEST_DANP
 from queryset.labels import DANP_AGE, END, FROM, START
 from queryset.population import SNAPSHOTS
 from tamarind.ml import learners, metrics, preprocess, registry, score, segments, split, train
-from tamarind.plans import assembly, labels, scoring_features
+from tamarind.ml.together import together
+from tamarind.plans import assembly, labels, scoring_features, search
 from tamarind.plans.assembly import Dataset
 from tamarind.session import cut_lineage, scratch_path
 from tamarind.sources import publish
@@ -73,33 +74,88 @@ def training_rows(t, segment: str):
     return q_assembly.danp_training(t, segment)
 
 
-def aov_rows(t, segment: str, version: str):
-    """Order-value labels with the features of the daily table."""
-    t = t.written("deliveries")
-    if segment == "nn":
-        feats, name = scoring_features.nn_features(t, DAY, aov=True), "aov_label_nn"
+def _aov_labelled(t, kind: str):
+    """Order-value labels of net new merchants or of the others, with the features of the daily table."""
+    if kind == "nn":
+        feats, labelled = scoring_features.nn_features(t, DAY, aov=True), t.aov_label_nn
     else:
-        feats, name = scoring_features.danp_features(t, DAY, True, HISTORY, SNAPSHOTS), "aov_label_danp"
-    labelled = getattr(t, name)
+        feats, labelled = scoring_features.danp_features(t, DAY, True, HISTORY, SNAPSHOTS), t.aov_label_danp
+    feats = cut_lineage(feats, "features")
     extra = [c for c in feats.columns if c not in labelled.columns]
     rows = labelled.join(feats.select("match_id", *extra).dropDuplicates(["match_id"]), "match_id", "left")
-    return assembly.aov_training_set(
-        t.with_frames(**{name: cut_lineage(rows, "aov-labels")}), segment, version, q_assembly.AOV_AFTER
-    )
+    return cut_lineage(rows, "aov-labels"), feats
+
+
+def aov_rows(t, segment: str, version: str):
+    """Order-value training rows of one segment."""
+    t, kind = t.written("deliveries"), "nn" if segment == "nn" else "danp"
+    frames = {f"aov_label_{kind}": _aov_labelled(t, kind)[0]}
+    return assembly.aov_training_set(t.with_frames(**frames), segment, version, q_assembly.AOV_AFTER)
+
+
+def _spark(t):
+    return t.deliveries.sparkSession
 
 
 def _trained_on(t) -> dict[str, DataFrame]:
-    """The training rows of each segment, written once."""
-    return {s: cut_lineage(training_rows(t, s), "training") for s in segments.SEGMENTS}
+    """The training rows of each segment, written once; both kinds of known merchants share their labels."""
+    t = t.written("deliveries")
+    built = together(
+        _spark(t),
+        {
+            "nn": lambda: cut_lineage(q_assembly.nn_training(t), "training"),
+            "danp": lambda: cut_lineage(labels.danp_monthly_label(t, START, END, FROM), "labels"),
+        },
+    )
+    known = together(_spark(t), {s: partial(_known_rows, t, s, built["danp"]) for s in segments.SEGMENTS if s != "nn"})
+    return {s: known.get(s, built["nn"]) for s in segments.SEGMENTS}
+
+
+def _known_rows(t, segment: str, labelled: DataFrame) -> DataFrame:
+    return cut_lineage(assembly.training_set(t, segment, labelled), "training")
+
 
+class AovSets:
+    """Order-value training and scoring sets of all versions and segments, from
+    labels and features that are built once."""
 
-def _aov_trained_on(t, version: str) -> dict[str, DataFrame]:
-    return {s: cut_lineage(aov_rows(t, s, version), "training") for s in segments.SEGMENTS}
+    def __init__(self, t, *versions: str, scored: bool = False):
+        self.t = t = t.written("deliveries")
+        kinds = {"nn": "nn", "ac": "danp", "da": "danp"}
+        self.built = together(_spark(t), {kind: partial(_aov_labelled, t, kind) for kind in ("nn", "danp")})
+        frames = t.with_frames(**{f"aov_label_{kind}": rows for kind, (rows, _) in self.built.items()})
+        jobs = {("train", v, s): partial(self._training, frames, s, v) for v in versions for s in segments.SEGMENTS}
+        if scored:
+            found = together(_spark(t), {kind: partial(self._found, kind) for kind in self.built})
+            jobs |= {("score", v, s): partial(self._scoring, v, s, kinds[s], found) for v in versions for s in segments.SEGMENTS}
+        self.sets = together(_spark(t), jobs)
 
+    def _found(self, kind: str) -> DataFrame:
+        return cut_lineage(search.daily_table(self.t, self.built[kind][1], [DAY]), "search")
 
-def _scored(t, version: str | None = None, day: str = DAY) -> dict[str, DataFrame]:
-    """The scoring set of each segment, written once."""
-    return {s: cut_lineage(q_assembly.scoring(t, s, version, day), "scoring") for s in segments.SEGMENTS}
+    def _training(self, frames, segment: str, version: str) -> DataFrame:
+        return cut_lineage(assembly.aov_training_set(frames, segment, version, q_assembly.AOV_AFTER), "training")
+
+    def _scoring(self, version: str, segment: str, kind: str, found: dict) -> DataFrame:
+        return cut_lineage(assembly.aov_scoring_set(self.t, segment, version, DAY, self.built[kind][1], found[kind]), "scoring")
+
+    def of(self, use: str, version: str) -> dict[str, DataFrame]:
+        return {s: self.sets[use, version, s] for s in segments.SEGMENTS}
+
+
+def _scored(t, *days: str) -> dict[tuple[str, str], DataFrame]:
+    """The scoring set of each day and segment, written once; both kinds of known merchants share their features."""
+    t = t.written("deliveries")
+    pairs = [(d, kind) for d in days for kind in ("nn", "danp")]
+    inputs = together(_spark(t), {(d, kind): partial(q_assembly.scoring_inputs, t, kind, False, d) for d, kind in pairs})
+    jobs = {
+        (d, s): partial(_scoring_rows, t, s, d, inputs[d, "nn" if s == "nn" else "danp"]) for d in days for s in segments.SEGMENTS
+    }
+    return together(_spark(t), jobs)
+
+
+def _scoring_rows(t, segment: str, day: str, inputs: tuple[DataFrame, DataFrame]) -> DataFrame:
+    return cut_lineage(q_assembly.scoring_of(t, segment, None, day, *inputs), "scoring")
 
 
 def _union(frames) -> DataFrame:
@@ -168,10 +224,9 @@ for _version in AOV_VERSIONS:
 
     @query(f"l03_aov_{_version}_fit_and_predict")
     def _(t, version=_version):
-        return _union(
-            learners.predict_with_actual(learners.fit_segment(segments.spec(s, version), rows), rows)
-            for s, rows in _aov_trained_on(t, version).items()
-        )
+        rows = AovSets(t, version).of("train", version)
+        fits = together(_spark(t), {s: partial(learners.fit_segment, segments.spec(s, version), r) for s, r in rows.items()})
+        return _union(learners.predict_with_actual(fits[s], r) for s, r in rows.items())
 
 
 def _split_sql(test: str) -> str:
@@ -213,12 +268,14 @@ def _(t):
 
 @query("l06_fit_with_early_stop")
 def _(t):
+    parts = {s: split.split_by_date(rows, "min_active_date", *CUTS) for s, rows in _trained_on(t).items()}
+    fits = together(_spark(t), {s: partial(learners.fit_segment, segments.spec(s), fit, dev) for s, (fit, dev, _) in parts.items()})
     out = []
-    for s, rows in _trained_on(t).items():
-        fit, dev, _ = split.split_by_date(rows, "min_active_date", *CUTS)
-        fitted = learners.fit_segment(segments.spec(s), fit, dev)
-        grown = F.lit(fitted.learner.getNumTrees).alias("trees")
-        out.append(learners.predict_with_actual(fitted, dev).select("match_id", "pred", "model", grown))
+    for s, fitted in fits.items():
+        kept = fitted.learner.getNumTrees
+        facts = {"trees": kept, "grown": len(fitted.curve), "dev_loss": fitted.curve[kept - 1] if fitted.curve else None}
+        rows = learners.predict_with_actual(fitted, parts[s][1])
+        out.append(rows.select("match_id", "pred", "model", *[F.lit(v).cast("double" if k == "dev_loss" else "long").alias(k) for k, v in facts.items()]))
     return _union(out)
 
 
@@ -243,11 +300,9 @@ def _(t):
 
 @query("l08_refit_and_predict")
 def _(t):
-    out = []
-    for s, rows in _trained_on(t).items():
-        fit, dev, test = split.split_by_date(rows, "min_active_date", *CUTS)
-        out.append(learners.predict_with_actual(learners.refit(segments.spec(s), fit, dev), test))
-    return _union(out)
+    parts = {s: split.split_by_date(rows, "min_active_date", *CUTS) for s, rows in _trained_on(t).items()}
+    fits = together(_spark(t), {s: partial(learners.refit, segments.spec(s), fit, dev) for s, (fit, dev, _) in parts.items()})
+    return _union(learners.predict_with_actual(fits[s], test) for s, (_, _, test) in parts.items())
 
 
 # Agreement -------------------------------------------------------------------
@@ -302,13 +357,20 @@ def _(t):
     )
 
 
+def _trained_and_scored(t, train_on, *days: str):
+    """A registry with what ``train_on`` (registry, training rows) leaves there, and the scoring sets;
+    the sets are built while the models grow."""
+    reg, t = _registry(t), t.written("deliveries")
+    jobs = {"models": lambda: train_on(reg, _trained_on(t)), "sets": lambda: _scored(t, *days)}
+    return reg, together(_spark(t), jobs)["sets"]
+
+
 @query("l12_forecast_sales")
 def _(t):
-    reg = _registry(t)
-    train.train_run(reg, _trained_on(t), segments.specs(), CUTS, "_test")
-    for s in segments.SEGMENTS:
-        reg.set_stage(f"{s}_ml_model_test", 1, registry.PRODUCTION)
-    return _union(score.forecast(reg, rows, s, suffix="_test", pinned=1) for s, rows in _scored(t).items())
+    reg, sets = _trained_and_scored(t, lambda reg, rows: train.train_run(reg, rows, segments.specs(), CUTS, "_test"), DAY)
+    reg.set_stages([(f"{s}_ml_model_test", 1, registry.PRODUCTION) for s in segments.SEGMENTS])
+    jobs = {s: partial(score.forecast, reg, sets[DAY, s], s, suffix="_test", pinned=1) for s in segments.SEGMENTS}
+    return _union(together(_spark(t), jobs).values())
 
 
 @query("l13_train_cohort")
@@ -322,33 +384,34 @@ for _version in AOV_VERSIONS:
 
     @query(f"l14_train_aov_{_version}")
     def _(t, version=_version):
-        return train.train_aov(_registry(t), _aov_trained_on(t, version), AOV_DAY, version, "_test")
+        return train.train_aov(_registry(t), AovSets(t, version).of("train", version), AOV_DAY, version, "_test")
 
 
 @query("l15_predictions_by_cohort")
 def _(t):
-    reg = _registry(t)
-    train.train_cohort(reg, _trained_on(t), COHORT_DAY, "_test")
-    return score.predictions_by_cohort(reg, _scored(t), "_test")
+    reg, sets = _trained_and_scored(t, lambda reg, rows: train.train_cohort(reg, rows, COHORT_DAY, "_test"), DAY)
+    return score.predictions_by_cohort(reg, {s: sets[DAY, s] for s in segments.SEGMENTS}, "_test")
 
 
 @query("l15_predictions_aov")
 def _(t):
-    out = []
-    for version in AOV_VERSIONS:
+    sets = AovSets(t, *AOV_VERSIONS, scored=True)
+
+    def predictions(version: str) -> DataFrame:
         reg = _registry(t)
-        train.train_aov(reg, _aov_trained_on(t, version), AOV_DAY, version, "_test")
-        out.append(score.predictions_aov(reg, _scored(t, version), version, "_test"))
-    return _union(out)
+        train.train_aov(reg, sets.of("train", version), AOV_DAY, version, "_test")
+        return score.predictions_aov(reg, sets.of("score", version), version, "_test")
+
+    return _union(together(_spark(t), {v: partial(predictions, v) for v in AOV_VERSIONS}).values())
 
 
 @query("a15_backfill_predictions")
 def _(t):
-    reg = _registry(t)
-    train.train_run(reg, _trained_on(t), segments.specs(), CUTS, "_test")
+    reg, sets = _trained_and_scored(t, lambda reg, rows: train.train_run(reg, rows, segments.specs(), CUTS, "_test"), *DAYS)
 
     def scorer(day):
-        return _union(score.forecast(reg, rows, s, suffix="_test") for s, rows in _scored(t, day=day.isoformat()).items())
+        jobs = {s: partial(score.forecast, reg, sets[day.isoformat(), s], s, suffix="_test") for s in segments.SEGMENTS}
+        return _union(together(_spark(t), jobs).values())
 
-    root = scratch_path(t.deliveries.sparkSession, "predictions")
+    root = scratch_path(_spark(t), "predictions")
     return publish.publish_predictions(scorer, DAYS, f"{root}-raw", f"{root}-deduped")[1]

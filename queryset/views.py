@@ -182,7 +182,7 @@ SELECT CASE WHEN (s.s_suppkey + #) % 5 <> 0 THEN s.s_suppkey END AS store_id,
        concat(CASE WHEN (s.s_suppkey + #) % 5 = 0 THEN 'x' ELSE 's' END, CAST(s.s_suppkey AS STRING)) AS match_id,
        CASE WHEN s.s_suppkey % 3 = 0 THEN NULL ELSE concat('v1-', CAST(s.s_suppkey AS STRING)) END AS vendor_1_id,
        s.s_name AS store_name, concat('CHAIN ', CAST(s.s_suppkey % 12 AS STRING)) AS external_store_name,
-       CAST(floor(s.s_suppkey / 5.0) AS BIGINT) AS business_id, s.s_suppkey % 25 AS starting_point_id,
+       CASE WHEN s.s_suppkey % 7 <> 3 THEN CAST(floor(s.s_suppkey / 5.0) AS BIGINT) END AS business_id, s.s_suppkey % 25 AS starting_point_id,
        CAST(s.s_nationkey AS BIGINT) AS submarket_id,
        DATE '1997-11-01' + CAST((s.s_suppkey * 29) % 200 AS INT) AS most_recent_deactivation_timestamp,
        DATE '1997-11-01' + CAST((s.s_suppkey * 29) % 200 + s.s_suppkey % 60 AS INT) AS reactivation_timestamp,

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarind.ml.together import together
+
 SCHEMA = "name string, version long, stage string, kind string, path string, metrics map<string,double>"
 STAGING, PRODUCTION, ARCHIVED, NONE = "Staging", "Production", "Archived", "None"
 PARTS = ("data_preprocess", "ml_model", "bias_adj_model")
@@ -62,20 +66,40 @@ class ModelRegistry:
 
     def register(self, name: str, model, kind: str, metrics: dict[str, float] | None = None) -> int:
         """Store a model as the next version of ``name``."""
+        return self.register_all([(name, model, kind, metrics)])[0]
+
+    def register_all(self, models: Sequence[tuple]) -> list[int]:
+        """Store (name, model, kind, metrics) as the next version of each name; the versions.
+
+        The models are written side by side; the table gets one new state.
+        """
+        names = [m[0] for m in models]
+        if len(set(names)) < len(names):
+            raise ValueError("a name is registered twice")
         now = self.entries()
-        version = (now.where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
-        path = os.path.join(self.root, "models", name, f"v{version}")
-        model.write().overwrite().save(path)
-        row = [(name, version, NONE, kind, path, {k: float(v) for k, v in (metrics or {}).items()})]
-        self._save(now.unionByName(self.spark.createDataFrame(row, SCHEMA)))
-        return version
+        last = {r["name"]: r["last"] for r in now.where(F.col("name").isin(names)).groupBy("name").agg(F.max("version").alias("last")).collect()}
+        versions = [last.get(n, 0) + 1 for n in names]
+        paths = [os.path.join(self.root, "models", n, f"v{v}") for n, v in zip(names, versions)]
+        together(self.spark, {p: partial(m[1].write().overwrite().save, p) for p, m in zip(paths, models)})
+        rows = [
+            (name, version, NONE, kind, path, {k: float(v) for k, v in (metrics or {}).items()})
+            for (name, _, kind, metrics), version, path in zip(models, versions, paths)
+        ]
+        self._save(now.unionByName(self.spark.createDataFrame(rows, SCHEMA)))
+        return versions
 
     def promote(self, names: list[str]) -> None:
         self._save(promote_newest(self.entries(), names))
 
     def set_stage(self, name: str, version: int, stage: str) -> None:
-        hit = (F.col("name") == name) & (F.col("version") == version)
-        self._save(self.entries().withColumn("stage", F.when(hit, F.lit(stage)).otherwise(F.col("stage"))))
+        self.set_stages([(name, version, stage)])
+
+    def set_stages(self, changes: Sequence[tuple[str, int, str]]) -> None:
+        """Sets the stage of each (name, version, stage), in one new state."""
+        after = F.col("stage")
+        for name, version, stage in changes:
+            after = F.when((F.col("name") == name) & (F.col("version") == version), F.lit(stage)).otherwise(after)
+        self._save(self.entries().withColumn("stage", after))
 
     def find(self, name: str, stage: str | None = None, version: int | None = None):
         """The row of a pinned version, or of the newest one in a stage."""
@@ -106,4 +130,4 @@ class ModelRegistry:
 
     def load_segment(self, segment: str, stage: str = STAGING, suffix: str = "", version: int | None = None) -> dict:
         """The three parts of a segment's model, each with its version."""
-        return {p: self.load(f"{segment}_{p}{suffix}", stage, version) for p in PARTS}
+        return together(self.spark, {p: partial(self.load, f"{segment}_{p}{suffix}", stage, version) for p in PARTS})

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from tamarind.ml import learners
 from tamarind.ml.registry import STAGING, ModelRegistry
 from tamarind.ml.segments import MODEL_VERSION, SEGMENTS, spec
 from tamarind.ml.split import COHORT_SLICES
+from tamarind.ml.together import together
 
 VERSION_COLUMNS = {
     "data_preprocess": "data_preprocess_model_version",
@@ -41,13 +42,13 @@ def predictions_by_cohort(
     pinned: int | None = None,
 ) -> DataFrame:
     """Local and enterprise rows of every segment, each by its own model."""
-    scored = [
-        forecast(registry, part(features[s]), s, "base", stage, tag + suffix, pinned)
+    jobs = {
+        (tag, s): partial(forecast, registry, part(features[s]), s, "base", stage, tag + suffix, pinned)
         for tag, part in COHORT_SLICES.items()
         for s in SEGMENTS
         if s in features
-    ]
-    return reduce(DataFrame.unionByName, scored)
+    }
+    return reduce(DataFrame.unionByName, together(registry.spark, jobs).values())
 
 
 def predictions_aov(
@@ -55,5 +56,5 @@ def predictions_aov(
     stage: str = STAGING, pinned: int | None = None,
 ) -> DataFrame:
     """Order-value predictions of every segment."""
-    scored = [forecast(registry, features[s], s, version, stage, suffix, pinned) for s in SEGMENTS if s in features]
-    return reduce(DataFrame.unionByName, scored)
+    jobs = {s: partial(forecast, registry, features[s], s, version, stage, suffix, pinned) for s in SEGMENTS if s in features}
+    return reduce(DataFrame.unionByName, together(registry.spark, jobs).values())

@@ -48,15 +48,15 @@ def business_before(
     tables: Tables, population: DataFrame, at: str, history_days: int | None = HISTORY_DAYS
 ) -> DataFrame:
     """One row per different (business_id, anchor date); ``history_days=None``
-    takes everything before the anchor."""
+    takes everything before the anchor. Without business or date there is
+    nothing before it, but the row stays."""
     keys = ["business_id", at]
-    anchors = (
-        population.select(*keys).where(F.col("business_id").isNotNull() & F.col(at).isNotNull()).distinct()
-    )
+    anchors = population.select(*keys).distinct()
+    known = anchors.where(F.col("business_id").isNotNull() & F.col(at).isNotNull())
     if history_days is None:
-        totals = _ever(tables, anchors, at)
+        totals = _ever(tables, known, at)
     else:
-        totals = _within(tables, anchors, at, history_days)
+        totals = _within(tables, known, at, history_days)
     out = with_defaults(
         anchors.join(totals, keys, "left"), {"stores": 0, "deliveries": 0, "days": 0}
     )

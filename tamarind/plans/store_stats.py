@@ -44,20 +44,19 @@ def before_deactivation(
     """One row per (store, deactivation, extra columns) of the population.
 
     Plain sums count once per population row with that store and date, as the
-    join they describe does. ``fill_zero`` replaces missing amounts by 0
-    (scoring); training keeps them NULL.
+    join they describe does. Rows without store or date have no orders and stay.
+    ``fill_zero`` replaces missing amounts by 0 (scoring); training keeps them NULL.
     """
     keys = [key, at]
-    anchors = (
-        population.where(F.col(key).isNotNull()).groupBy(*keys, *extra).agg(F.count(F.lit(1)).alias("copies"))
-    )
+    anchors = population.groupBy(*keys, *extra).agg(F.count(F.lit(1)).alias("copies"))
     core = tables.core.select(
         F.col("store_id").alias(key), "active_date", "delivery_id", "subtotal", "fee", "commission_rate",
         "is_partner", "is_first_order",
     )
     # Four groupings read the pairs; they are written once instead of scanning
     # the deliveries four times.
-    pairs = cut_lineage(_pairs(anchors.select(*keys).distinct(), core, key, at, history_days), "store-orders")
+    known = anchors.select(*keys).where(F.col(key).isNotNull() & F.col(at).isNotNull()).distinct()
+    pairs = cut_lineage(_pairs(known, core, key, at, history_days), "store-orders")
     first, partner = is_true("is_first_order"), is_true("is_partner")
 
     # Orders and fees, by delivery.
@@ -72,14 +71,14 @@ def before_deactivation(
         *[F.sum(F.when(c, F.col("fee"))).alias(f"fee{s}") for s, c in spans.items()],
         *[F.sum(flag(c & F.col("fee").isNotNull())).alias(f"feen{s}") for s, c in spans.items()],
     )
-    known = F.col("delivery_id").isNotNull()
+    named = F.col("delivery_id").isNotNull()
     orders = per_delivery.groupBy(*keys).agg(
         F.sum("first_rows").alias("first_rows"),
         F.sum("partner_rows").alias("partner_rows"),
         F.sum("rows").alias("rows"),
-        *[F.sum(F.when(known, F.col(f"o{s}")).otherwise(0)).alias(f"num_orders{s}_before") for s in spans],
-        *[F.sum(F.when(known, F.col(f"f{s}")).otherwise(0)).alias(f"num_first_ordercarts{s}_before") for s in spans if s],
-        *[F.sum(F.when(known, F.col(f"p{s}")).otherwise(0)).alias(f"num_partner_delivs{s}_before") for s in spans if s],
+        *[F.sum(F.when(named, F.col(f"o{s}")).otherwise(0)).alias(f"num_orders{s}_before") for s in spans],
+        *[F.sum(F.when(named, F.col(f"f{s}")).otherwise(0)).alias(f"num_first_ordercarts{s}_before") for s in spans if s],
+        *[F.sum(F.when(named, F.col(f"p{s}")).otherwise(0)).alias(f"num_partner_delivs{s}_before") for s in spans if s],
         *[(F.sum(f"fee{s}") / F.nullif(F.sum(f"feen{s}"), F.lit(0)) / 100).alias(f"avg_fee{s}_before") for s in spans],
     )
 

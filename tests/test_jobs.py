@@ -8,7 +8,7 @@ from moments import at, day
 from pyspark.sql import functions as F
 
 from tamarind.ml.split import enterprise_rows, local_rows, split_by_date
-from tamarind.plans import assembly, evaluate, geography, labels, population, ranking, requests, search, store_stats, vendor
+from tamarind.plans import assembly, business, evaluate, geography, labels, population, ranking, requests, search, store_stats, vendor
 from tamarind.sources import publish, warehouse
 from tamarind.sources.tables import normalise, schema_of
 
@@ -84,6 +84,23 @@ def test_store_history_windows_and_cents(spark, tables):
     assert rows[2].median_commission_rate_7days_before is None
 
 
+def test_rows_without_store_business_or_date_stay(spark, tables):
+    dea = day("2020-06-30")
+    orders = [dict(store_id=s, business_id=s, delivery_id=i, active_date=dea, subtotal=100, is_core=True) for i, s in enumerate([1, 1, None])]
+    people = spark.createDataFrame(
+        [(1, 1, dea), (None, None, dea), (None, None, dea), (1, 1, None), (None, None, None)],
+        "store_id long, business_id long, most_recent_deactivation_timestamp date",
+    )
+    at = "most_recent_deactivation_timestamp"
+    for history in (180, None):
+        rows = store_stats.before_deactivation(tables(deliveries=orders), people, history_days=history).collect()
+        got = {(r.store_id, r[at]): (r.num_orders_before, r.num_first_ordercarts_before, r.pct_partner_delivs_before, r.avg_subtotal_before) for r in rows}
+        assert got == {(1, dea): (2, 0, 0, 1), (None, dea): (0, 0, 0, 0), (1, None): (0, 0, 0, 0), (None, None): (0, 0, 0, 0)}
+        rows = business.business_before(tables(deliveries=orders), people, at, history).collect()
+        got = {(r.business_id, r[at]): (r.num_orders_business_before, r.total_subtotal_business_before) for r in rows}
+        assert got == {(1, dea): (2, 2), (None, dea): (0, None), (1, None): (0, None), (None, None): (0, None)}
+
+
 def test_week_stats_count_known_merchants_and_null_partners(tables):
     orders = [
         dict(store_id=s, delivery_id=i, submarket_id=1, creator_id=i % 2, active_date=day(d), subtotal=100, is_partner=p, is_core=True)

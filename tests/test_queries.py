@@ -17,7 +17,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not
 QUICK = [
     "k02_search_lookbacks_nn", "k05_mean_daily_search_nn", "k07_submarket_l7d", "k08_starting_point_l7d",
     "k09_enterprise_l28d_global", "k10_starting_point_at_activation", "k13_submarket_age_training",
-    "k14_requests_scoring", "k16_business_before_deactivation_all_history", "k19_starting_point_growth",
+    "k14_requests_scoring", "k15_store_stats_training", "k15_store_stats_scoring", "k15_store_stats_all_history",
+    "k16_business_before_reactivation", "k16_business_before_deactivation_all_history", "k19_starting_point_growth",
     "k22_deactivated_merchants", "k24_last_nonpartner_day", "k26_known_merchants", "k27_net_new_merchants",
     "k38_predictions_with_actuals", "k41_valid_leads", "k43_decile_rank", "k48_rank_balance", "a12_backfill_rerun",
     "l09_agreement", "c09_requests_after_orders", "d05_median",
