@@ -13,7 +13,7 @@ from tamarind.functions.exprs import DateLike, as_date, checked_name
 from tamarind.plans import enterprise, geography, scoring_features, search
 from tamarind.plans.labels import HISTORY_FROM
 from tamarind.plans.population import SNAPSHOTS_AFTER
-from tamarind.session import delete_path
+from tamarind.sources.dated import DatedTable
 from tamarind.sources.tables import Tables, normalise
 
 BATCH_ROWS = 1_000_000
@@ -73,24 +73,20 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {checked_name(name)}")
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("create_date",)) -> None:
-    """Replace exactly the partitions that ``df`` holds.
+def replace_partitions(
+    df: DataFrame, path: str, by: Sequence[str] = ("create_date",), clear: Iterable[str] = ()
+) -> None:
+    """Replace exactly the partitions that ``df`` holds, and empty those of
+    ``clear``; all of it or, where the job fails, nothing.
 
-    Running the same job again leaves the same rows. Rows of a partition are
-    written by the tasks that hold them; no partition is gathered in one task.
+    Running the same job again leaves the same rows.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 5 * BATCH_ROWS)
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    DatedTable(df.sparkSession, path, by).replace(df, clear, 5 * BATCH_ROWS)
 
 
-def read_dated(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+def read_dated(spark: SparkSession, path: str, like: DataFrame, by: Sequence[str] = ("create_date",)) -> DataFrame:
     """Read a dated table with the types it was written with."""
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+    return DatedTable(spark, path, by).read(like.schema)
 
 
 # Feature backfills -----------------------------------------------------------
@@ -160,7 +156,5 @@ def backfill(
     build = feature_builders()[feature] if isinstance(feature, str) else feature
     rows = build(tables, wanted)
     # A date that has no rows any more must not keep its old ones.
-    for date in wanted:
-        delete_path(rows.sparkSession, f"{path}/create_date={date.isoformat()}")
-    replace_partitions(rows, path)
+    replace_partitions(rows, path, clear=[f"create_date={d.isoformat()}" for d in wanted])
     return read_dated(rows.sparkSession, path, rows)

@@ -1,14 +1,17 @@
 """Reruns, shared folders and windows without counts."""
 
+import os
 from types import SimpleNamespace
 
 import pytest
 from moments import day
+from pyspark.sql import functions as F
 
 from tamarind.operators.asof import pair_in_window
 from tamarind.plans import search
 from tamarind.session import shared_dir
-from tamarind.sources.warehouse import backfill
+from tamarind.sources.dated import DatedTable
+from tamarind.sources.warehouse import backfill, read_dated, replace_partitions
 
 
 def test_search_window_of_days_without_counts_is_zero(tables):
@@ -33,6 +36,69 @@ def test_backfill_clears_dates_that_lost_their_rows(spark, tables, tmp_path):
     assert sorted((str(r.create_date), r.v) for r in got.collect()) == [("2021-05-01", 1), ("2021-05-03", 9)]
 
 
+def dated(spark, rows):
+    return spark.createDataFrame(rows, "create_date string, v int").selectExpr("CAST(create_date AS date) AS create_date", "v")
+
+
+def held(df):
+    return sorted((str(r.create_date), r.v) for r in df.collect())
+
+
+def test_a_failed_replace_leaves_the_former_rows(spark, tables, tmp_path):
+    path = str(tmp_path / "feature")
+    before = [("2021-05-01", 1), ("2021-05-02", 2), (None, 7)]
+    replace_partitions(dated(spark, before), path)
+    like = dated(spark, [])
+    broken = dated(spark, [("2021-05-01", 5), ("2021-05-02", 6)]).repartition(2).withColumn("v", F.when(F.col("v") == 6, F.raise_error("half way").cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="half way"):
+        replace_partitions(broken, path)
+    with pytest.raises(Exception, match="half way"):
+        backfill(tables(), lambda *_: broken, ["2021-05-01"], path)
+    assert held(read_dated(spark, path, like)) == sorted((str(d), v) for d, v in before)
+    assert len([n for n in os.listdir(path) if n.startswith("load=")]) == 1  # what the failed jobs wrote is gone
+
+
+def test_a_job_may_read_what_it_replaces(spark, tables, tmp_path):
+    path = str(tmp_path / "feature")
+    replace_partitions(dated(spark, [("2021-05-01", 1), ("2021-05-02", 2)]), path)
+    like = dated(spark, [])
+    old = read_dated(spark, path, like)
+    got = backfill(tables(), lambda *_: read_dated(spark, path, like).withColumn("v", F.col("v") + 10), ["2021-05-01", "2021-05-02"], path)
+    assert held(got) == [("2021-05-01", 11), ("2021-05-02", 12)]
+    assert held(old) == [("2021-05-01", 1), ("2021-05-02", 2)]  # a reader of the former state still ends
+    for n in range(4):
+        replace_partitions(dated(spark, [("2021-05-03", n)]), path)
+    assert held(read_dated(spark, path, like)) == [("2021-05-01", 11), ("2021-05-02", 12), ("2021-05-03", 3)]
+    assert len([n for n in os.listdir(path) if n.startswith("load=")]) == 3  # 11 and 12, the last two of the third date
+
+
+def test_writers_at_the_same_time_both_stay(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "feature")
+    table = DatedTable(spark, path)
+    table.replace(dated(spark, [("2021-05-01", 1)]))
+    state, other = DatedTable.state, [True]
+
+    def late(self):
+        found = state(self)
+        if other.pop() if other else False:  # another writer commits between this one's look and its own manifest
+            monkeypatch.setattr(DatedTable, "state", state)
+            DatedTable(spark, path).replace(dated(spark, [("2021-05-02", 2)]))
+            monkeypatch.setattr(DatedTable, "state", late)
+        return found
+
+    monkeypatch.setattr(DatedTable, "state", late)
+    table.replace(dated(spark, [("2021-05-03", 3)]))
+    monkeypatch.setattr(DatedTable, "state", state)
+    schema = dated(spark, []).schema
+    assert held(table.read(schema)) == [("2021-05-01", 1), ("2021-05-02", 2), ("2021-05-03", 3)]
+    number = table.state()[0]
+    (tmp_path / "feature" / "_manifests" / f"{number + 1:08d}").write_text('{"create')  # a writer that died
+    assert len(held(table.read(schema))) == 3 and not table._commit(number + 1, {})
+    table.replace(dated(spark, [("2021-05-04", 4)]))
+    assert len(held(table.read(schema))) == 4
+    assert DatedTable(spark, str(tmp_path / "none")).read(dated(spark, []).schema).count() == 0
+
+
 def test_a_cluster_must_name_its_shared_folder():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError):
