@@ -267,13 +267,13 @@ FROM nn_rows x LEFT JOIN ws ON ws.submarket_id = x.submarket_id LEFT JOIN wp ON
 LEFT JOIN feats f ON f.match_id = x.match_id {joins}""", steps
 
 
-def scoring_inputs(t, segment: str, aov: bool, day: str):
+def scoring_inputs(t, segment: str, aov: bool, *days: str):
     if segment == "nn":
-        rows = scoring_features.nn_features(t, day, aov)
+        rows = scoring_features.nn_features(t, days, aov)
     else:
-        rows = scoring_features.danp_features(t, day, aov, HISTORY, SNAPSHOTS)
+        rows = scoring_features.danp_features(t, days, aov, HISTORY, SNAPSHOTS)
     rows = cut_lineage(rows, "feature-rows")
-    return rows, search.daily_table(t, rows, [day])
+    return rows, search.daily_table(t, rows, days)
 
 
 def scoring(t, segment: str, version: str | None = None, day: str = DAY):

@@ -146,10 +146,9 @@ class AovSets:
 def _scored(t, *days: str) -> dict[tuple[str, str], DataFrame]:
     """The scoring set of each day and segment, written once; both kinds of known merchants share their features."""
     t = t.written("deliveries")
-    pairs = [(d, kind) for d in days for kind in ("nn", "danp")]
-    inputs = together(_spark(t), {(d, kind): partial(q_assembly.scoring_inputs, t, kind, False, d) for d, kind in pairs})
+    inputs = together(_spark(t), {kind: partial(q_assembly.scoring_inputs, t, kind, False, *days) for kind in ("nn", "danp")})
     jobs = {
-        (d, s): partial(_scoring_rows, t, s, d, inputs[d, "nn" if s == "nn" else "danp"]) for d in days for s in segments.SEGMENTS
+        (d, s): partial(_scoring_rows, t, s, d, inputs["nn" if s == "nn" else "danp"]) for d in days for s in segments.SEGMENTS
     }
     return together(_spark(t), jobs)
 

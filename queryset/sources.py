@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from queryset import ranking as q_ranking
-from queryset.assembly import HISTORY, danp_steps, nn_steps
-from queryset.base import DAY, DAYS, query
+from queryset.assembly import HISTORY
+from queryset.base import CHECKS, DAY, DAYS, query
 from queryset.features import CORE, DAILY, DATES, SCORED, chain_sql, week_sql
 from queryset.labels import DANP_STEPS, END, FROM, NN_STEPS, START
 from queryset.population import SNAPSHOTS
@@ -150,6 +150,11 @@ def _filled(t, feature, dates):
     return warehouse.backfill(t, feature, dates, scratch_path(_spark(t), "feature"))
 
 
+def on_days(name: str) -> str:
+    """The checking SQL of a job of one test date, for three."""
+    return "\nUNION ALL ".join(f"SELECT * FROM (\n{CHECKS[name].replace(DAY, d)}\n)" for d in DAYS)
+
+
 BUILDERS = warehouse.feature_builders(HISTORY, SNAPSHOTS)
 A13 = {
     "submarket_week": (WEEK, dict(core=CORE, dates=DATES), DAYS),
@@ -168,10 +173,10 @@ A13 = {
         "SELECT * RENAME (created_date AS create_date) FROM s",
         dict(core=CORE, dates=DATES, s=chain_sql("restaurant_name")), DAYS,
     ),
-    "danp": ("SELECT * FROM danp_rows", danp_steps(False), [DAY]),
-    "nn": ("SELECT * FROM nn_rows", nn_steps(False), [DAY]),
-    "aov_danp": ("SELECT * FROM danp_rows", danp_steps(True), [DAY]),
-    "aov_nn": ("SELECT * FROM nn_rows", nn_steps(True), [DAY]),
+    "danp": (on_days("k32_danp_features"), {}, DAYS),
+    "nn": (on_days("k33_nn_features"), {}, DAYS),
+    "aov_danp": (on_days("k34_aov_danp_features"), {}, DAYS),
+    "aov_nn": (on_days("k34_aov_nn_features"), {}, DAYS),
 }
 
 for _feature, (_sql, _steps, _dates) in A13.items():

@@ -22,12 +22,13 @@ def point_week(
     suffix: str,
     fixed_fee: float | None = None,
     partner_default: bool = True,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """Stats of the store's starting point in the seven days up to ``at``.
 
     Computed once per (starting point, date) and handed back to the stores.
-    One row per (store, starting point, date columns); plain sums count once
-    per population row.
+    One row per (store, starting point, date, extra columns); plain sums count
+    once per population row of these.
     """
     place = ["starting_point_id", at]
     anchors = population.select(*place).where(
@@ -40,11 +41,12 @@ def point_week(
         place,
         ids=["creator_id", "delivery_id"],
     )
-    stores = population.groupBy("store_id", *place).agg(F.count(F.lit(1)).alias("copies"))
+    stores = population.groupBy("store_id", *place, *extra).agg(F.count(F.lit(1)).alias("copies"))
     share = ratio("partner_rows", "orders")
     out = stores.join(week, place, "left").select(
         "store_id",
         *place,
+        *extra,
         F.col("n_delivery_id").alias(f"num_orders_sp_7days_{suffix}"),
         dollars(F.col("cents") * F.col("copies")).alias(f"total_subtotal_sp_7days_{suffix}"),
         (
@@ -58,14 +60,16 @@ def point_week(
     return with_defaults(out, {f"num_{c}_sp_7days_{suffix}": 0 for c in ("orders", "stores", "consumers")})
 
 
-def point_growth(before: DataFrame, after: DataFrame, deactivated: str, activated: str) -> DataFrame:
+def point_growth(
+    before: DataFrame, after: DataFrame, deactivated: str, activated: str, extra: tuple[str, ...] = ()
+) -> DataFrame:
     """Relative growth between the two weeks, where deactivation precedes activation."""
 
     def grown(name: str):
         b, a = F.col(f"{name}_before"), F.col(f"{name}_after")
         return safe_ratio(a - b, b)
 
-    pairs = before.join(after, ["store_id", "starting_point_id"]).where(F.col(deactivated) < F.col(activated))
+    pairs = before.join(after, ["store_id", "starting_point_id", *extra]).where(F.col(deactivated) < F.col(activated))
     return pairs.withColumns(
         {
             "total_subtotal_scaler_sp": 1.0 + grown("total_subtotal_sp_7days"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,23 @@ DEFAULT_ZONE = "US/Pacific"
 SNAPSHOTS_AFTER = dt.date(2018, 10, 15)  # daily status snapshots are kept since then
 EXCLUDED_REASON = 1
 
+DATED = "create_date"
+
 POPULATION = [
     "match_id", "store_id", "vendor_1_id", "vendor_2_id", "name", "business_id", "starting_point_id",
     "submarket_id", "most_recent_deactivation_timestamp", "activation_date", "merchant_type_prod",
 ]
 
 
+def on_dates(df: DataFrame, dates: Iterable[DateLike]) -> DataFrame:
+    """Each row once for every test date, named ``create_date``. What doesn't
+    depend on the date is computed before, once for all of them."""
+    wanted = sorted({as_date(d) for d in dates})
+    if not wanted:
+        raise ValueError("no dates requested")
+    return df.withColumn(DATED, F.explode(F.array(*[F.lit(d) for d in wanted])))
+
+
 def without_fraud(df: DataFrame, tables: Tables, key: str = "store_id") -> DataFrame:
     """Drop rows of stores closed for fraud; rows without a store stay."""
     fraud = tables.stores.where(F.col("last_deactivation_reason") == FRAUD)
@@ -94,19 +106,25 @@ def deactivated_merchants(tables: Tables) -> DataFrame:
     )
 
 
-def active_nonpartners(tables: Tables, date: DateLike) -> DataFrame:
-    """Active merchants that are not partners; deactivation is set to yesterday."""
+def active_nonpartners_on(tables: Tables, dates: Iterable[DateLike]) -> DataFrame:
+    """Active merchants that are not partners, for every date; deactivation is
+    set to the day before."""
     rows = open_registry(tables).where(is_true("is_active") & ~F.coalesce("is_partner", F.lit(False)))
-    return _described(rows, tables).drop("market_id").withColumn(
-        "most_recent_deactivation_date", plus_days(F.lit(as_date(date)), -1)
+    return on_dates(_described(rows, tables).drop("market_id"), dates).withColumn(
+        "most_recent_deactivation_date", plus_days(F.col(DATED), -1)
     )
 
 
-def last_nonpartner_days(
-    tables: Tables, date: DateLike, snapshots_after: dt.date = SNAPSHOTS_AFTER
+def active_nonpartners(tables: Tables, date: DateLike) -> DataFrame:
+    return active_nonpartners_on(tables, [date]).drop(DATED)
+
+
+def last_nonpartner_days_on(
+    tables: Tables, dates: Iterable[DateLike], snapshots_after: dt.date = SNAPSHOTS_AFTER
 ) -> DataFrame:
-    """Closed stores with the last day they were live as non-partners."""
-    limit = plus_days(F.lit(as_date(date)), -7)
+    """Closed stores with the last day they were live as non-partners, for every
+    date. Status and deactivations are reduced once; a date only decides which
+    of the found days lie at least a week back."""
     closed = tables.stores.where(~F.col("is_active")).select("store_id")
     live = (
         tables.store_status.where(
@@ -115,8 +133,7 @@ def last_nonpartner_days(
             & (F.col("date_stamp") > F.lit(snapshots_after))
         )
         .groupBy("store_id")
-        .agg(F.max("date_stamp").alias("last_np_live_date"))
-        .where(F.col("last_np_live_date") < limit)
+        .agg(F.max("date_stamp").alias("last_live"))
     )
     # Latest deactivation: a maximum of structs combines before the shuffle.
     newest = (
@@ -125,25 +142,36 @@ def last_nonpartner_days(
         .agg(F.max(F.struct("created_at", "id", "reason_id")).alias("d"))
         .select("store_id", F.col("d.created_at").cast("date").alias("deactivated_on"), "d.reason_id")
     )
-    seen = F.coalesce("last_np_live_date", "deactivated_on")
-    return (
+    known = (
         closed.join(live, "store_id", "left")
         .join(newest, "store_id", "left")
         .where(F.col("reason_id").isNull() | (F.col("reason_id") != EXCLUDED_REASON))
+    )
+    limit = plus_days(F.col(DATED), -7)
+    seen = F.coalesce("last_np_live_date", "deactivated_on")
+    return (
+        on_dates(known, dates)
+        .withColumn("last_np_live_date", F.when(F.col("last_live") < limit, F.col("last_live")))
         .where(seen.isNull() | (seen < limit))
-        .select("store_id", F.coalesce("deactivated_on", "last_np_live_date").alias("last_np_live_day"))
+        .select("store_id", F.coalesce("deactivated_on", "last_np_live_date").alias("last_np_live_day"), DATED)
     )
 
 
-def activated_after_danp(tables: Tables, date: DateLike) -> DataFrame:
-    """Merchants reactivated after the test date; in a backfill they were still
+def last_nonpartner_days(
+    tables: Tables, date: DateLike, snapshots_after: dt.date = SNAPSHOTS_AFTER
+) -> DataFrame:
+    return last_nonpartner_days_on(tables, [date], snapshots_after).drop(DATED)
+
+
+def activated_after_danp_on(tables: Tables, dates: Iterable[DateLike]) -> DataFrame:
+    """Merchants reactivated after a test date; in a backfill they were still
     to be scored."""
     kind = F.when(F.col("merchant_type") == "active_np", F.lit("active")).when(
         F.col("merchant_type") == "deactivated_np", F.lit("deactivated")
     )
     return (
-        latest_load(tables.label_danp)
-        .where(F.col("reactivation_timestamp") > F.lit(as_date(date)))
+        on_dates(latest_load(tables.label_danp).drop(DATED), dates)
+        .where(F.col("reactivation_timestamp") > F.col(DATED))
         .select(
             "match_id",
             "store_id",
@@ -154,17 +182,22 @@ def activated_after_danp(tables: Tables, date: DateLike) -> DataFrame:
             "starting_point_id",
             "submarket_id",
             "most_recent_deactivation_timestamp",
-            plus_days(F.lit(as_date(date)), -1).alias("activation_date"),
+            plus_days(F.col(DATED), -1).alias("activation_date"),
             kind.alias("merchant_type_prod"),
+            DATED,
         )
     )
 
 
-def activated_after_nn(tables: Tables, date: DateLike) -> DataFrame:
-    """Merchants activated on or after the test date."""
+def activated_after_danp(tables: Tables, date: DateLike) -> DataFrame:
+    return activated_after_danp_on(tables, [date]).drop(DATED)
+
+
+def activated_after_nn_on(tables: Tables, dates: Iterable[DateLike]) -> DataFrame:
+    """Merchants activated on or after a test date."""
     return (
-        latest_load(tables.label_nn)
-        .where(F.col("store_activation_date") >= F.lit(as_date(date)))
+        on_dates(latest_load(tables.label_nn).drop(DATED), dates)
+        .where(F.col("store_activation_date") >= F.col(DATED))
         .select(
             F.col("match_id").alias("id"),
             F.col("store_activation_date").alias("activation_date"),
@@ -172,38 +205,50 @@ def activated_after_nn(tables: Tables, date: DateLike) -> DataFrame:
             F.col("submarket_id").alias("sub_id"),
             "vendor_1_id",
             "restaurant_name",
+            DATED,
         )
     )
 
 
-def known_merchants(
-    tables: Tables, date: DateLike, snapshots_after: dt.date = SNAPSHOTS_AFTER
+def activated_after_nn(tables: Tables, date: DateLike) -> DataFrame:
+    return activated_after_nn_on(tables, [date]).drop(DATED)
+
+
+def known_merchants_on(
+    tables: Tables, dates: Iterable[DateLike], snapshots_after: dt.date = SNAPSHOTS_AFTER
 ) -> DataFrame:
-    """Deactivated and active non-partner merchants to score, without copies."""
-    yesterday = plus_days(F.lit(as_date(date)), -1)
+    """Deactivated and active non-partner merchants to score on each date, without copies."""
+    dates = list(dates)
+    yesterday = plus_days(F.col(DATED), -1)
     gone = (
-        deactivated_merchants(tables)
-        .join(last_nonpartner_days(tables, date, snapshots_after), "store_id", "left")
+        on_dates(deactivated_merchants(tables), dates)
+        .join(last_nonpartner_days_on(tables, dates, snapshots_after), ["store_id", DATED], "left")
         .withColumn(
             "most_recent_deactivation_timestamp",
             F.coalesce("most_recent_deactivation_date", "last_np_live_day"),
         )
         .withColumns({"activation_date": yesterday, "merchant_type_prod": F.lit("deactivated")})
     )
-    active = active_nonpartners(tables, date).withColumns(
+    active = active_nonpartners_on(tables, dates).withColumns(
         {
             "most_recent_deactivation_timestamp": F.col("most_recent_deactivation_date"),
             "activation_date": yesterday,
             "merchant_type_prod": F.lit("active"),
         }
     )
-    later = activated_after_danp(tables, date)
-    parts = [df.select(*POPULATION) for df in (gone, active, later)]
+    later = activated_after_danp_on(tables, dates)
+    parts = [df.select(*POPULATION, DATED) for df in (gone, active, later)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 
-def net_new_merchants(tables: Tables, date: DateLike) -> DataFrame:
-    """Merchants never scored as known ones.
+def known_merchants(
+    tables: Tables, date: DateLike, snapshots_after: dt.date = SNAPSHOTS_AFTER
+) -> DataFrame:
+    return known_merchants_on(tables, [date], snapshots_after).drop(DATED)
+
+
+def net_new_merchants_on(tables: Tables, dates: Iterable[DateLike]) -> DataFrame:
+    """Merchants never scored as known ones, for every date.
 
     Inactive ones always qualify; the check against earlier known merchants
     applies to active non-partners only.
@@ -218,13 +263,17 @@ def net_new_merchants(tables: Tables, date: DateLike) -> DataFrame:
     inactive = ~F.coalesce("is_active", F.lit(False))
     nonpartner = ~F.coalesce("is_partner", F.lit(False))
     unseen = F.col("__scored").isNull() & F.col("id").isNotNull()
-    out = ["match_id", "store_name", "vendor_1_id", "starting_point_id", "submarket_id"]
+    dates = list(dates)
 
     def shaped(df: DataFrame) -> DataFrame:
         return df.select(
             F.col("id").alias("match_id"), F.col("restaurant_name").alias("store_name"), "vendor_1_id",
-            F.col("sp_id").alias("starting_point_id"), F.col("sub_id").alias("submarket_id"),
+            F.col("sp_id").alias("starting_point_id"), F.col("sub_id").alias("submarket_id"), DATED,
         )
 
-    picked = shaped(rows.where(inactive | (nonpartner & unseen)))
-    return picked.unionByName(shaped(activated_after_nn(tables, date))).select(*out).distinct()
+    picked = shaped(on_dates(rows.where(inactive | (nonpartner & unseen)), dates))
+    return picked.unionByName(shaped(activated_after_nn_on(tables, dates))).distinct()
+
+
+def net_new_merchants(tables: Tables, date: DateLike) -> DataFrame:
+    return net_new_merchants_on(tables, [date]).drop(DATED)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,16 +93,6 @@ def read_dated(spark: SparkSession, path: str, like: DataFrame, by: Sequence[str
 Builder = Callable[[Tables, Sequence[DateLike]], DataFrame]
 
 
-def _each_date(one: Callable[[Tables, DateLike], DataFrame]) -> Builder:
-    """Builders whose population depends on the date: one plan per date, one
-    write for all."""
-
-    def build(tables: Tables, dates: Sequence[DateLike]) -> DataFrame:
-        return reduce(DataFrame.unionByName, [one(tables, d) for d in dates])
-
-    return build
-
-
 def _dated(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("created_date", "create_date")
 
@@ -133,7 +122,7 @@ def feature_builders(
     since, after = as_date(history_from), as_date(snapshots_after)
 
     def danp(aov: bool) -> Builder:
-        return _each_date(lambda t, d: scoring_features.danp_features(t, d, aov, since, after))
+        return lambda t, d: scoring_features.danp_features(t, d, aov, since, after)
 
     return {
         "submarket_week": lambda t, d: geography.week_stats(t, d, "submarket"),
@@ -142,9 +131,9 @@ def feature_builders(
         "enterprise_submarket": lambda t, d: _dated(enterprise.chain_sales(t, d, "submarket")),
         "enterprise_global": lambda t, d: _dated(enterprise.chain_sales(t, d, "global")),
         "danp": danp(False),
-        "nn": _each_date(lambda t, d: scoring_features.nn_features(t, d)),
+        "nn": lambda t, d: scoring_features.nn_features(t, d),
         "aov_danp": danp(True),
-        "aov_nn": _each_date(lambda t, d: scoring_features.nn_features(t, d, aov=True)),
+        "aov_nn": lambda t, d: scoring_features.nn_features(t, d, aov=True),
     }
 
 
