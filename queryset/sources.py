@@ -13,6 +13,7 @@ from queryset.base import CHECKS, DAY, DAYS, query
 from queryset.features import CORE, DAILY, DATES, SCORED, chain_sql, week_sql
 from queryset.labels import DANP_STEPS, END, FROM, NN_STEPS, START
 from queryset.population import SNAPSHOTS
+from queryset.views import check_sql
 from tamarind.operators import snapshot
 from tamarind.plans import ranking
 from tamarind.plans.assembly import Dataset
@@ -240,38 +241,40 @@ def _(t):
     return publish.generate_labels(t, START, END, f"{root}-nn", f"{root}-danp", FROM)[1]
 
 
-CURRENT = "1998-07-01"  # 31 days after the prediction date
+# Evaluation dates, 31 days after their prediction dates; on the last nothing was predicted.
+EVALUATED = {"1998-07-01": "1998-05-31", "1998-07-02": "1998-06-01", "1998-07-03": "1998-06-02"}
 
 
-def _moved_to_pred_day(text: str) -> str:
-    """The ranking steps with the test date on the prediction date."""
-    return text.replace(f"DATE '{DAY}'", f"DATE '{q_ranking.PRED_DAY}'").replace("p.pred * 1.1", "p.pred")
+def _evaluated(sql: str) -> str:
+    """``sql`` over the ranking steps for each evaluation date, with the test
+    and the prediction date on the same day."""
 
+    def moved(text: str, day: str) -> str:
+        for literal in (DAY, q_ranking.PRED_DAY):
+            text = text.replace(f"DATE '{literal}'", f"DATE '@{day}'")
+        return text.replace("@", "").replace("p.pred * 1.1", "p.pred")
 
-METRIC_STEPS = {k: _moved_to_pred_day(v) for k, v in q_ranking.COMBINED_STEPS.items()}
+    parts = []
+    for current, day in EVALUATED.items():
+        steps = {k: v if k in ("danp", "nn") else moved(v, day) for k, v in q_ranking.COMBINED_STEPS.items()}
+        parts.append(f"SELECT *, DATE '{current}' AS create_date FROM (\n{check_sql(moved(sql, day), steps)}\n)")
+    return "\nUNION ALL ".join(parts)
 
 
 def _metrics(t):
     danp, nn = q_ranking.shifted_labels(t)
     return publish.publish_metrics(
-        t, ranking.dedupe_predictions(t.predictions), danp, nn, [CURRENT], scratch_path(_spark(t), "metrics")
+        t, ranking.dedupe_predictions(t.predictions), danp, nn, EVALUATED, scratch_path(_spark(t), "metrics")
     )
 
 
-@query(
-    "a16_backfill_metrics_combined",
-    f"SELECT *, DATE '{CURRENT}' AS create_date FROM ({_moved_to_pred_day(q_ranking.COMBINED)})",
-    **METRIC_STEPS,
-)
-def _(t):
-    return _metrics(t)["combined"]
-
-
-@query(
-    "a16_backfill_metrics_predicted",
-    f"SELECT *, DATE '{q_ranking.PRED_DAY}' AS pred_date, DATE '{CURRENT}' AS create_date FROM rank_pred",
-    **METRIC_STEPS,
-)
-def _(t):
-    return _metrics(t)["predicted"]
+METRICS = {
+    "combined": q_ranking.COMBINED,
+    "predicted": f"SELECT *, DATE '{q_ranking.PRED_DAY}' AS pred_date FROM rank_pred",
+    "actual": f"SELECT *, DATE '{q_ranking.PRED_DAY}' AS pred_date FROM rank_actual",
+}
+for _kind, _sql in METRICS.items():
 
+    @query(f"a16_backfill_metrics_{_kind}", _evaluated(_sql))
+    def _(t, kind=_kind):
+        return _metrics(t)[kind]

@@ -85,33 +85,29 @@ def publish_metrics(
     status_as_of: str = "table_max",
 ) -> dict[str, DataFrame]:
     """Rank predicted and actual market sizes of each evaluation date's
-    prediction date, and write the ranks and their combination."""
-    parts: dict[str, list[DataFrame]] = {"predicted": [], "actual": [], "combined": []}
-    for current in sorted({as_date(d) for d in current_dates}):
-        day = current - dt.timedelta(days=lookback_days)
-        full = cut_lineage(
-            ranking.predictions_with_actuals(
-                tables, predictions, day, danp_labels, nn_labels, actual=actual, pred=pred, factor=factor
-            ),
-            "predictions-full",
-        )
-        # Both rankings read the market size twice (to count and to order).
-        sizes = {
-            kind: cut_lineage(ranking.market_size(tables, full, day, day, value, status_as_of), "market-size")
-            for kind, value in (("predicted", pred), ("actual", "actual"))
-        }
-        if sizes["predicted"].isEmpty():
-            continue
-        ranks = {k: ranking.decile_rank(v, include_partner=include_partner) for k, v in sizes.items()}
-        both = ranking.combine_ranks(ranks["actual"], ranks["predicted"], full)
-        for kind, rows in ranks.items():
-            parts[kind].append(rows.withColumns({"pred_date": F.lit(day), "create_date": F.lit(current)}))
-        parts["combined"].append(both.withColumn("create_date", F.lit(current)))
+    prediction date, and write the ranks and their combination.
+
+    All dates are one plan and one write for each of the three tables; a date
+    without market sizes leaves no rows.
+    """
+    currents = sorted({as_date(d) for d in current_dates})
+    days = {d: d for d in (c - dt.timedelta(days=lookback_days) for c in currents)}
+    full = cut_lineage(
+        ranking.predictions_with_actuals(
+            tables, predictions, days, danp_labels, nn_labels, actual=actual, pred=pred, factor=factor
+        ),
+        "predictions-full",
+    )
+    ranks = {}
+    for kind, value in (("predicted", pred), ("actual", "actual")):
+        size = ranking.market_size_on(tables, full, days, value, status_as_of).withColumnRenamed(ranking.ON, "pred_date")
+        ranks[kind] = ranking.decile_rank(size, include_partner=include_partner)
+    both = ranking.combine_ranks(ranks["actual"], ranks["predicted"], full, dated=True)
+    current = F.date_add("pred_date", lookback_days).alias("create_date")
     out = {}
     for kind, name in metric_table_names(table, model_version, factor, suffix).items():
-        if parts[kind]:
-            rows = reduce(DataFrame.unionByName, parts[kind])
-            path = os.path.join(root, name)
-            replace_partitions(rows, path)
-            out[kind] = read_dated(rows.sparkSession, path, rows)
+        rows = {**ranks, "combined": both}[kind].select("*", current)
+        path = os.path.join(root, name)
+        replace_partitions(rows, path, clear=[f"create_date={c.isoformat()}" for c in currents])
+        out[kind] = read_dated(rows.sparkSession, path, rows)
     return out
