@@ -9,14 +9,15 @@ that serves many windows is repeated in its reduced form only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tamarind.functions.exprs import flag, is_true
+from tamarind.functions.exprs import DateLike, flag, is_true
 from tamarind.operators.keyed import join_null_safe
+from tamarind.operators.sliding import sliding_totals
 
 Attach = Callable[[DataFrame], DataFrame]
 
@@ -78,6 +79,31 @@ def delivery_totals(
     return out
 
 
+def delivery_windows(
+    facts: DataFrame,
+    keys: Sequence[str],
+    dates: Iterable[DateLike],
+    lo: int,
+    hi: int,
+    ids: Sequence[str] = (),
+    day: str = "active_date",
+    as_name: str = "create_date",
+) -> DataFrame:
+    """The columns of :func:`delivery_totals` for the windows ``[date+lo, date+hi]``
+    of many dates, without repeating a delivery for each of them."""
+    partner = is_true("is_partner")
+    sums = {
+        "cents": F.col("subtotal"),
+        "orders": flag(F.col("delivery_id").isNotNull()),
+        "partner_rows": flag(partner),
+        "partner_cents": F.when(partner, F.col("subtotal")),
+        "fee_cents": F.col("fee"),
+        "fee_rows": flag(F.col("fee").isNotNull()),
+    }
+    distinct = {"stores": ("store_id", None), "partner_stores": ("store_id", partner), **{f"n_{i}": (i, None) for i in ids}}
+    return sliding_totals(facts, keys, dates, lo, hi, sums, distinct, day, as_name)
+
+
 def _bin(value: Column) -> Column:
     """Order-preserving coarse bin: at most 1/64 of an octave wide, and a
     bounded number of bins whatever the data."""

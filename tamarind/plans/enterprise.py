@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.functions.exprs import is_true, ratio
-from tamarind.operators.asof import serve_dates
-from tamarind.operators.rollup import distinct_per
-from tamarind.operators.keyed import join_null_safe
+from tamarind.operators.sliding import sliding_totals
 from tamarind.sources.tables import Tables
 
 MONTH = (-28, -1)
@@ -24,24 +22,17 @@ GRAINS = {
 def chain_sales(tables: Tables, dates: Iterable, grain: str) -> DataFrame:
     """Partner sales per partner store over t-28 .. t-1. NULL without partner sales."""
     keys = GRAINS[grain]
-    # A row per store and day is served to the dates, not each delivery.
+    # A row per store and day meets the chain list, not each delivery; the list may name a store twice.
     daily = tables.core.groupBy("store_id", "active_date").agg(
         F.sum(F.when(is_true("is_partner"), F.col("subtotal"))).alias("cents"),
         F.max(is_true("is_partner")).alias("partner"),
     )
-    served = serve_dates(daily, dates, "active_date", *MONTH, as_name="created_date")
-    per_store = served.groupBy("store_id", "created_date").agg(
-        F.sum("cents").alias("cents"), F.max("partner").alias("partner")
-    )
-    # Each store is one row per date by now; the chain list may name it twice.
     listed = tables.enterprise_merchants.where(F.col("store_id").isNotNull())
-    rows = per_store.join(listed, "store_id")
-    group = [*keys, "created_date"]
-    sales = rows.groupBy(*group).agg(F.sum("cents").alias("cents"))
-    stores = distinct_per(rows.where("partner"), group, "store_id", "stores")
-    return join_null_safe(sales, stores, group).select(
-        *group, ratio(F.col("cents") / 100, "stores").alias("l28d_avg_sales")
-    )
+    totals = sliding_totals(
+        daily.join(listed, "store_id"), keys, dates, *MONTH,
+        {"cents": F.col("cents")}, {"stores": ("store_id", F.col("partner"))}, as_name="created_date",
+    )
+    return totals.select(*keys, "created_date", ratio(F.col("cents") / 100, "stores").alias("l28d_avg_sales"))
 
 
 def adjust_predictions(

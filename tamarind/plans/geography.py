@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.functions.exprs import day_diff, dollars, safe_ratio, as_date, plus_days
-from tamarind.operators.asof import pair_in_window, serve_dates
+from tamarind.operators.asof import pair_in_window
 from tamarind.operators.keyed import join_null_safe, with_defaults
-from tamarind.operators.rollup import delivery_totals
+from tamarind.operators.rollup import delivery_totals, delivery_windows
 from tamarind.sources.tables import Tables
 
 # grain -> (delivery key, registry key, column prefix)
@@ -64,13 +64,7 @@ def week_stats(tables: Tables, dates: Iterable, grain: str = "submarket") -> Dat
     """Stats of the seven days before each date, with the share of all
     registered merchants that are live partners."""
     key = GRAINS[grain][0]
-    totals = delivery_totals(
-        tables.core,
-        [key],
-        lambda df: serve_dates(df, dates, "active_date", *WEEK_BEFORE),
-        [key, "create_date"],
-        ids=["creator_id"],
-    )
+    totals = delivery_windows(tables.core, [key], dates, *WEEK_BEFORE, ids=["creator_id"])
     return _week_columns(tables, totals, grain, "create_date")
 
 
@@ -113,13 +107,7 @@ def stats_for_scoring(
 ) -> DataFrame:
     """Stats of days t-29 .. t-1 for each test date, one row per (key, date)."""
     key, _, prefix = GRAINS[grain]
-    totals = delivery_totals(
-        tables.core,
-        [key],
-        lambda df: serve_dates(df, dates, "active_date", *MONTH_BEFORE_SCORING),
-        [key, "create_date"],
-        ids=["creator_id"],
-    )
+    totals = delivery_windows(tables.core, [key], dates, *MONTH_BEFORE_SCORING, ids=["creator_id"])
     return totals.select(
         key, "create_date", *[c.alias(n) for n, c in _stat_columns(prefix, with_aov).items()]
     )

@@ -5,10 +5,11 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tamarind.functions import exprs as X
-from tamarind.operators import asof, keyed, ranking, rollup, snapshot
+from tamarind.operators import asof, keyed, ranking, rollup, sliding, snapshot
 
 BASE = dt.date(2020, 1, 1)
 
@@ -183,3 +184,47 @@ def test_toward_zero_and_ratios(spark):
         X.toward_zero("x").alias("t"), X.safe_ratio("y", "z").alias("s"), X.ratio("y", "z").alias("r")
     ).first()
     assert (row.t, row.s, row.r) == (-2.0, 0.0, None)
+
+
+@pytest.mark.parametrize("dates, lo, hi", [(30, -7, -1), (30, -29, -1), (1, -28, -1), (12, -3, 2)])
+def test_sliding_windows_equal_repeated_facts(spark, dates, lo, hi):
+    """Thirty dates, some of them apart, against facts repeated for each date."""
+    rng = random.Random(dates)
+    start = dt.date(2021, 3, 1)
+    wanted = sorted({start + dt.timedelta(days=rng.randrange(50)) for _ in range(dates)})
+    rows = [
+        (rng.choice([1, 1, 1, 2, None]), start + dt.timedelta(days=rng.randrange(-40, 60)), rng.choice([None, 1, 2, 3]), rng.choice([None, *range(9)]),
+         rng.choice([None, i]), rng.choice([None, 100, 250]), rng.choice([None, True, False]), rng.choice([None, 5]))
+        for i in range(400)
+    ]
+    names = "submarket_id long, active_date date, store_id long, creator_id long, delivery_id long, subtotal long, is_partner boolean, fee long"
+    facts = spark.createDataFrame(rows, names)
+    want = rollup.delivery_totals(facts, ["submarket_id"], lambda df: asof.serve_dates(df, wanted, "active_date", lo, hi), ["submarket_id", "create_date"], ids=["creator_id"])
+    got = rollup.delivery_windows(facts, ["submarket_id"], wanted, lo, hi, ids=["creator_id"])
+    order = sorted(want.columns)
+    assert sorted(got.columns) == order
+    assert sorted(map(tuple, got.select(*order).collect()), key=repr) == sorted(map(tuple, want.select(*order).collect()), key=repr)
+
+
+def test_sliding_windows_do_not_repeat_facts(spark):
+    """Rows that are shuffled don't grow with the window."""
+    facts = spark.sql("SELECT id % 7 AS k, date_add(DATE'2021-01-01', CAST(id % 300 AS int)) AS d, id % 50 AS who, id AS v FROM range(6000)")
+    dates = [dt.date(2021, 3, 1) + dt.timedelta(days=n) for n in range(120)]
+
+    def exploded(lo):
+        out = sliding.sliding_totals(facts, ["k"], dates, lo, -1, {"v": F.col("v")}, {"n": ("who", None)}, day="d")
+        out.collect()
+        text = out._jdf.queryExecution().executedPlan()
+        nodes, todo = [], [text]
+        while todo:
+            node = todo.pop()
+            kind = node.getClass().getSimpleName()
+            todo += [node.finalPhysicalPlan()] if kind == "AdaptiveSparkPlanExec" else []
+            todo += [node.plan()] if kind.endswith("QueryStageExec") else []
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+            if kind == "GenerateExec" and "__end" in node.toString():
+                nodes.append(node.metrics().apply("numOutputRows").value())
+        return nodes
+
+    short, long = exploded(-7), exploded(-90)
+    assert short and sum(long) <= 2 * 2 * 6000 and sum(long) <= 2 * sum(short)
