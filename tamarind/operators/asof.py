@@ -34,14 +34,14 @@ def pair_in_window(
     lo: int,
     hi: int,
     spread_by: str | None = None,
-    ways: int = 8,
 ) -> DataFrame:
     """Inner pairs of anchors and facts with equal keys and
     ``anchor + lo <= fact date <= anchor + hi`` (days, both ends included).
 
     Column names other than the keys must not collide. For facts that were not
-    reduced beforehand, ``spread_by`` names a column whose hash cuts each
-    (key, slot) into ``ways`` parts; the anchors are repeated once per part.
+    reduced beforehand, ``spread_by`` names a column whose hash cuts each heavy
+    (key, slot) into as many parts as its rows need; anchors of other slots are
+    not repeated.
     """
     width = slot_days(lo, hi)
     day = F.unix_date(F.col(anchor_col).cast("date"))
@@ -51,15 +51,15 @@ def pair_in_window(
         "__slot", F.explode(F.sequence(first, last))
     )
     # The anchors' first and last day bound the facts, so that dated partitions are pruned.
-    days = anchors.agg(F.min(F.col(anchor_col).cast("date")).alias("from"), F.max(F.col(anchor_col).cast("date")).alias("to"))
-    earliest = days.select(F.date_add("from", lo)).scalar()
-    latest = days.select(F.date_add("to", hi)).scalar()
+    at = F.col(anchor_col).cast("date")
+    earliest = anchors.agg(F.date_add(F.min(at), lo)).scalar()
+    latest = anchors.agg(F.date_add(F.max(at), hi)).scalar()
     facts = facts.where(F.col(fact_col).cast("date").between(earliest, latest))
     placed = facts.withColumn(
         "__slot", F.floor(F.unix_date(F.col(fact_col).cast("date")) / width)
     )
     on = [*keys, "__slot"]
-    pairs = slotted.join(placed, on) if spread_by is None else spread_join(placed, slotted, on, spread_by, ways)
+    pairs = slotted.join(placed, on) if spread_by is None else spread_join(placed, slotted, on, spread_by)
     return pairs.where(in_days(F.col(fact_col).cast("date"), anchor_col, lo, hi)).drop("__slot")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarind.session import cut_lineage
+
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Iterable[str], how: str = "left") -> DataFrame:
     """Equi-join in which NULL keys match each other; keys come from the left."""
@@ -51,12 +53,47 @@ def keys_seen_once(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def spread_join(big: DataFrame, small: DataFrame, on: Iterable[str], by: str, ways: int = 64) -> DataFrame:
-    """Inner equi-join that splits each key of ``big`` over ``ways`` tasks.
+PART_ROWS = 1 << 19  # rows of a key that one task should hold at most
+MOST_HEAVY = 10_000  # keys that are cut; any other key has less than this fraction of all rows
+
 
-    Rows of ``big`` are salted by the hash of a column that varies within a
-    key, and ``small`` is repeated once per salt.
+def heavy_keys(df: DataFrame, on: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """(keys, __parts): the keys of more than ``part_rows`` rows and how many
+    parts each is to be cut into. Counted over all rows and written once, so
+    that both sides of a join see the same parts; ``MOST_HEAVY`` rows at most.
     """
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(ways)).cast("int"))
-    repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    known = df
+    for c in on:
+        known = known.where(F.col(c).isNotNull())
+    counts = known.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > part_rows)
+    parts = F.ceil(F.col("__n") / part_rows).cast("int").alias("__parts")
+    return cut_lineage(counts.orderBy(F.desc("__n"), *on).limit(MOST_HEAVY).select(*on, parts), "heavy-keys")
+
+
+def spread_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Iterable[str],
+    by: str,
+    ways: int | None = None,
+    counted: DataFrame | None = None,
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """Inner equi-join that cuts the heavy keys of ``big`` into parts.
+
+    Rows of a heavy key are dealt out by the hash of a column that varies within
+    it, and only such keys are repeated in ``small``, once for each part; all
+    other keys meet as in a plain join. Keys are counted in ``counted``, for
+    instance what ``big`` is computed from, or in ``big``. ``ways`` cuts every key
+    into that many parts without counting.
+    """
+    on = list(on)
+    if ways is not None:
+        salted = big.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(ways)).cast("int"))
+        repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+        return repeated.join(salted, [*on, "__salt"], "inner").drop("__salt")
+    heavy = F.broadcast(heavy_keys(big if counted is None else counted, on, part_rows))  # bounded by MOST_HEAVY
+    parts = F.coalesce("__parts", F.lit(1))
+    salted = big.join(heavy, on, "left").withColumn("__salt", F.pmod(F.xxhash64(by), parts).cast("int")).drop("__parts")
+    repeated = small.join(heavy, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
     return repeated.join(salted, [*on, "__salt"], "inner").drop("__salt")

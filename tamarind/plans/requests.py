@@ -104,8 +104,9 @@ def request_features(tables: Tables, anchors: DataFrame, anchor: str, windows: t
     end = wanted.agg(F.max(anchor).alias("last")).select(_midnight("last", cutoff)).scalar()
     asked_for = wanted.select(F.col("match_id").alias("mx_id")).distinct()
     requests = tables.store_requests.where(F.col("requested_at") < end).join(asked_for, "mx_id", "left_semi")
+    plain = requests.withColumnRenamed("mx_id", "match_id")
     requests = with_prior_orders(requests, tables.core.where(F.col("created_at") < end)).withColumnRenamed("mx_id", "match_id")
-    pairs = spread_join(requests, wanted, ["match_id"], by="consumer_id").where(
+    pairs = spread_join(requests, wanted, ["match_id"], by="consumer_id", counted=plain).where(
         F.col("requested_at") < _midnight(anchor, cutoff)
     )
     held = {

@@ -228,3 +228,27 @@ def test_sliding_windows_do_not_repeat_facts(spark):
 
     short, long = exploded(-7), exploded(-90)
     assert short and sum(long) <= 2 * 2 * 6000 and sum(long) <= 2 * sum(short)
+
+
+def test_spread_join_cuts_heavy_keys_only(spark):
+    """One key with half of the rows: no part above its share, cold keys not repeated."""
+    big = spark.sql("SELECT CASE WHEN id % 2 = 0 THEN 1 WHEN id % 97 = 0 THEN NULL ELSE id % 1000 + 2 END AS k, id AS i FROM range(20000)")
+    small = spark.sql("SELECT id + 1 AS k, id AS s FROM range(1500) UNION ALL SELECT NULL, -1L UNION ALL SELECT 1L, -2L")
+    heavy = keyed.heavy_keys(big, ["k"], part_rows=1000).collect()
+    assert [(r.k, r["__parts"]) for r in heavy] == [(1, 10)]
+    got = keyed.spread_join(big, small, ["k"], by="i", part_rows=1000)
+    want = sorted(map(tuple, small.join(big, "k").select("k", "s", "i").collect()))
+    assert sorted(map(tuple, got.select("k", "s", "i").collect())) == want
+    parts = keyed.F.pmod(keyed.F.xxhash64("i"), keyed.F.lit(10))
+    sizes = [r["count"] for r in big.where("k = 1").groupBy(parts).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 1.2 * 1000
+
+
+def test_window_join_with_a_heavy_slot(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "PART_ROWS", 50)
+    monkeypatch.setattr(keyed.spread_join, "__defaults__", (None, None, 50))
+    facts = spark.sql("SELECT CAST(id % 3 = 0 AS int) AS k, date_add(DATE'2021-01-01', CAST(id % 40 AS int)) AS d, id FROM range(3000)")
+    anchors = spark.sql("SELECT CAST(id % 2 AS int) AS k, date_add(DATE'2021-01-10', CAST(id AS int)) AS a FROM range(20)")
+    got = asof.pair_in_window(anchors, facts, ["k"], "a", "d", -6, 0, spread_by="id")
+    want = anchors.join(facts, "k").where("d BETWEEN date_add(a, -6) AND a")
+    assert sorted(map(tuple, got.select("k", "a", "id").collect())) == sorted(map(tuple, want.select("k", "a", "id").collect()))
