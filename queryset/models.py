@@ -54,7 +54,18 @@ def _(t):
     return preprocess.column_statistics(t.vendor_features, STAT_NUM, STAT_CAT)
 
 
-@query("l01_prepared_features")
+def _prepared_sql() -> str:
+    """Scaled numbers, and a one in one slot of each category: a missing value takes the mean or the most
+    frequent value; numbers that are all alike are scaled by 1."""
+    stats = ", ".join(
+        f"avg({c}) AS m_{c}, coalesce(nullif(sqrt(var_pop({c}) * count({c}) / count(*)), 0), 1) AS s_{c}" for c in STAT_NUM
+    )
+    slots = " + ".join([str(len(STAT_NUM)), *[f"count(DISTINCT {c})" for c in STAT_CAT]])
+    total = " + ".join([*[f"(coalesce({c}, m_{c}) - m_{c}) / s_{c}" for c in STAT_NUM], str(len(STAT_CAT))])
+    return f"SELECT match_id, slots, {total} AS total FROM {{vendor_features}}, (SELECT {stats}, {slots} AS slots FROM {{vendor_features}})"
+
+
+@query("l01_prepared_features", _prepared_sql())
 def _(t):
     model = preprocess.fit_preprocess(t.vendor_features, STAT_NUM, STAT_CAT)
     from pyspark.ml.functions import vector_to_array
