@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from queryset.base import query
 from tamarind.plans import evaluate
 
-ACTIVATIONS = ["1998-05-26", "1998-07-25", "1998-07-24"]  # the last one has no predictions
+# Thirty dates; only every fifth day has predictions.
+ACTIVATIONS = [str(dt.date(1998, 5, 26) + dt.timedelta(days=k)) for k in (*range(28), 59, 60)]
 
 COHORTS = """SELECT s.store_id, s.business_id, CASE
  WHEN EXISTS (SELECT 1 FROM {business_group_links} l JOIN {business_groups} g ON g.id = l.business_group_id

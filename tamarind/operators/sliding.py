@@ -75,11 +75,11 @@ def sliding_totals(
     )
     for name, (of, condition) in distinct.items():
         rows = bounded.where(F.col(of).isNotNull() if condition is None else F.col(of).isNotNull() & condition)
-        # Both ends of the runs ascend with the days, so what a day adds begins behind the run before it;
-        # rows that repeat a day add nothing.
+        # Days are told apart first, so that a hot id is a row for each of its days. Both ends of the
+        # runs ascend with the days: what a day adds begins behind the run before it.
         order = Window.partitionBy(*keys, of).orderBy(day)
         begin = F.greatest(F.col("__first"), F.coalesce(F.lag("__last").over(order) + 1, F.lit(0)))
-        placed = rows.select(*dict.fromkeys([*keys, of, day])).join(runs, day).withColumn("__begin", begin)
+        placed = rows.select(*dict.fromkeys([*keys, of, day])).distinct().join(runs, day).withColumn("__begin", begin)
         ends = placed.where("__begin <= __last").select(*keys, _both_ends(F.col("__begin"), F.col("__last") + 1))
         events = events.unionByName(
             ends.select(*keys, F.col("__end.at").alias("__at"), sign.cast("long").alias(f"d_{name}")), allowMissingColumns=True

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamarind.functions.exprs import DateLike, plus_days, ratio
+from tamarind.functions.exprs import DateLike, as_date, flag, plus_days, ratio
 from tamarind.operators.asof import serve_dates
-from tamarind.operators.rollup import distinct_per
+from tamarind.operators.sliding import sliding_totals
 from tamarind.sources.tables import Tables
 
 ROLLING = (-83, 0)  # days up to and including the activation date
@@ -50,7 +51,7 @@ def rolling_grain(deciles: DataFrame) -> DataFrame:
     return acts.withColumn("dm_date", F.explode(days))
 
 
-def rolling_rows(
+def daily_rows(
     tables: Tables,
     deciles: DataFrame,
     activation_dates: Iterable[DateLike],
@@ -59,18 +60,12 @@ def rolling_rows(
     cohorts: Sequence[str] = ALL_COHORTS,
     exclude_poor_activation: bool = False,
 ) -> DataFrame:
-    """Different evaluation rows per activation date, with their cohort.
-
-    Only days inside the windows asked for are read; the activation date
-    itself must have predictions.
-    """
-    ranked = deciles.where(F.col("decile_rank_pred").isNotNull()).withColumn(
-        "dm_date", plus_days("pred_date", 1)
-    )
-    exists = ranked.select(F.col("dm_date").alias("activation_date")).distinct()
-    rows = serve_dates(ranked, activation_dates, "dm_date", *ROLLING, as_name="activation_date").join(
-        exists, "activation_date", "left_semi"
-    )
+    """Different evaluation rows per day, with their cohort; no row is repeated
+    for the windows it lies in. Only days inside the windows asked for are read."""
+    wanted = [as_date(d) for d in activation_dates]
+    day = plus_days("pred_date", 1)
+    from_day, to_day = (F.lit(d + dt.timedelta(days=k)) for d, k in zip((min(wanted), max(wanted)), ROLLING))
+    ranked = deciles.where(F.col("decile_rank_pred").isNotNull() & day.between(from_day, to_day)).withColumn("dm_date", day)
     mx = tables.registry.where(
         F.col("store_id").isNotNull() & ~F.upper("restaurant_name").like(f"%{VIRTUAL_BRAND}%")
     ).select(F.col("id").alias("match_id"), "store_id", "sub_id")
@@ -79,7 +74,7 @@ def rolling_rows(
     )
     poor = tables.poor_activations.where(F.col("match_id").isNotNull()).select("match_id").distinct()
     out = (
-        rows.join(mx, "match_id")
+        ranked.join(mx, "match_id")
         .join(store_cohorts(tables).select("store_id", "cohort"), "store_id")
         .where(F.col("cohort").isin(*cohorts))
         .join(placed, "sub_id", "left_semi")
@@ -88,27 +83,41 @@ def rolling_rows(
         out = out.join(poor, "match_id", "left_anti")
     # The poor-activation flag is the same for all rows of a merchant, so it
     # does not change which rows differ.
-    return out.select("activation_date", "dm_date", "store_id", "sub_id", "match_id", "cohort", *keep).distinct()
+    return out.select("dm_date", "store_id", "sub_id", "match_id", "cohort", *keep).distinct()
+
+
+def _predicted_days(deciles: DataFrame) -> DataFrame:
+    """Activation dates that have predictions themselves."""
+    ranked = deciles.where(F.col("decile_rank_pred").isNotNull())
+    return ranked.select(plus_days("pred_date", 1).alias("activation_date")).distinct()
+
+
+def rolling_rows(
+    tables: Tables, deciles: DataFrame, activation_dates: Iterable[DateLike], keep: Sequence[str], **options
+) -> DataFrame:
+    """:func:`daily_rows` for each activation date whose window holds their day;
+    the activation date itself must have predictions."""
+    dates = list(activation_dates)
+    rows = serve_dates(daily_rows(tables, deciles, dates, keep, **options), dates, "dm_date", *ROLLING, as_name="activation_date")
+    rows = rows.join(_predicted_days(deciles), "activation_date", "left_semi")
+    return rows.select("activation_date", "dm_date", "store_id", "sub_id", "match_id", "cohort", *keep)
 
 
 def rank_balance(
     tables: Tables, deciles: DataFrame, activation_dates: Iterable[DateLike], **options
 ) -> DataFrame:
-    """Absolute decile error per (cell-wise different) merchant."""
-    rows = rolling_rows(
-        tables, deciles, activation_dates,
-        ["decile_rank_pred", "decile_rank_actual", "tam_value_pred", "tam_value_actual"], **options,
-    )
-    cell = ["activation_date", "decile_rank_actual", "decile_rank_pred"]
-    merchants = distinct_per(
-        rows.withColumn("__cell", F.struct(*cell)), ["activation_date", "__cell"], "match_id", "store_cnt"
-    )
-    counted = merchants.groupBy("activation_date").agg(F.sum("store_cnt").alias("tot_store_cnt"))
-    errors = rows.groupBy("activation_date").agg(
-        F.sum(F.abs(F.col("decile_rank_pred") - F.col("decile_rank_actual"))).alias("tot_balance_score")
+    """Absolute decile error per (cell-wise different) merchant, of all windows
+    by running sums over the days."""
+    dates = list(activation_dates)
+    ranks = ["decile_rank_pred", "decile_rank_actual"]
+    rows = daily_rows(tables, deciles, dates, [*ranks, "tam_value_pred", "tam_value_actual"], **options)
+    rows = rows.withColumns({"all": F.lit(1), "seen": F.struct(*ranks, "match_id")})
+    error = F.abs(F.col("decile_rank_pred") - F.col("decile_rank_actual"))
+    totals = sliding_totals(
+        rows, ["all"], dates, *ROLLING, {"tot_balance_score": error}, {"tot_store_cnt": ("seen", None)}, "dm_date", "activation_date"
     )
     return (
-        errors.join(counted, "activation_date")
+        totals.join(_predicted_days(deciles), "activation_date", "left_semi")
         .select(
             "activation_date", "tot_store_cnt", "tot_balance_score",
             F.round(ratio("tot_balance_score", "tot_store_cnt"), 2).alias("normalized_balance_score"),
@@ -120,21 +129,26 @@ def rank_balance(
 def calibration_by_decile(
     tables: Tables, deciles: DataFrame, activation_dates: Iterable[DateLike], **options
 ) -> DataFrame:
-    """Average actual and predicted size, error and weight of each predicted decile."""
-    rows = rolling_rows(
-        tables, deciles, activation_dates, ["decile_rank_pred", "tam_value_pred", "tam_value_actual"], **options
-    )
-    weeks = distinct_per(
-        rows.withColumn("week", F.trunc("dm_date", "week")), ["activation_date", "decile_rank_pred"], "week",
-        "rolling_weeks_cnt",
+    """Average actual and predicted size, error and weight of each predicted decile.
+
+    Amounts are added up as decimals of nine places, so that running sums leave
+    no rest behind.
+    """
+    dates = list(activation_dates)
+    sizes = ["tam_value_actual", "tam_value_pred"]
+    rows = daily_rows(tables, deciles, dates, ["decile_rank_pred", *sizes], **options)
+    sums = {c: F.col(c).cast("decimal(28,9)") for c in sizes} | {f"n_{c}": flag(F.col(c).isNotNull()) for c in sizes}
+    totals = sliding_totals(
+        rows.withColumn("week", F.trunc("dm_date", "week")), ["decile_rank_pred"], dates, *ROLLING, sums,
+        {"rolling_weeks_cnt": ("week", None)}, "dm_date", "activation_date",
+    )
+    means = totals.join(_predicted_days(deciles), "activation_date", "left_semi").select(
+        "activation_date", "decile_rank_pred",
+        *[ratio(F.col(c).cast("double"), f"n_{c}").alias(f"avg_{c}") for c in sizes], "rolling_weeks_cnt",
     )
-    means = rows.groupBy("activation_date", "decile_rank_pred").agg(
-        F.avg("tam_value_actual").alias("avg_tam_value_actual"),
-        F.avg("tam_value_pred").alias("avg_tam_value_pred"),
-    )
     # Ten rows per activation date from here on.
     per_date = Window.partitionBy("activation_date")
-    return means.join(weeks, ["activation_date", "decile_rank_pred"]).withColumns(
+    return means.withColumns(
         {
             "decile_weight": ratio("avg_tam_value_actual", F.sum("avg_tam_value_actual").over(per_date)),
             "avg_rolling_cpe": F.abs(
