@@ -146,7 +146,7 @@ def test_registered_fits_cover_every_segment_with_real_settings(spark, name, mon
 
     def forecast(reg, data, segment, version="base", stage="Staging", suffix="", pinned=None):
         sets.setdefault((segment, version), []).append(suffix)
-        return predicted.withColumns({"model": F.lit(segment), "ml_model_version": F.lit("1")})
+        return predicted.withColumns({"model": F.lit(segment), **{c: F.lit("1") for c in score.VERSION_COLUMNS.values()}})
 
     fake = SimpleNamespace(spark=spark, register_all=lambda m: None, promote=lambda n: None, set_stages=lambda c: None,
                            entries=lambda: spark.createDataFrame([], registry.SCHEMA))
