@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.llm.words import LOWER, chunks, mix, powers
+from tamarind.llm.workspace import Workspace
 
 SAMPLE = 3000  # labelled rows of each class that the fit sees at most
 FEATURES = 1024  # features with a weight; more of them learn groups of copies by heart
@@ -50,6 +51,8 @@ GROUPS = (
     ("negros", "blancos", "asiáticos", "árabes"),
 )
 
+_SAMPLED = "toxic int, own array<long>, gone array<long>, come array<long>"
+
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -205,19 +208,52 @@ def fit_rows(toxic: np.ndarray, own: list, gone: list, come: list, even: float =
     return Model(names, w, float(b))
 
 
+def _telling(rows: DataFrame, n1: int, n0: int) -> list[int]:
+    """Names of the ``FEATURES`` features whose shares in the two classes differ
+    most, by the statistic of :func:`fit_rows`, counted over all sampled ``rows``."""
+    counts = rows.select("toxic", F.explode("own").alias("name")).groupBy("name").agg(F.count("*").alias("seen"), F.sum("toxic").alias("in1"))
+    p = F.col("seen") / F.lit(float(n1 + n0))
+    apart = F.abs(F.col("in1") / F.lit(float(n1)) - (F.col("seen") - F.col("in1")) / F.lit(float(n0)))
+    z = apart / F.sqrt(p * (1 - p) * (1.0 / n1 + 1.0 / n0) + 1e-12)
+    best = counts.where("seen >= 3").withColumn("z", z).orderBy(F.desc("z"), F.col("name") < 0, "name").limit(FEATURES)
+    return [r.name for r in best.select("name").collect()]
+
+
+def _only(names: np.ndarray):
+    """Cuts the features of sampled rows down to ``names``, which ascend."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = []
+            for column in batch.columns[1:]:
+                values = [np.intersect1d(x, names, assume_unique=True) for x in np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])]
+                lists.append(pa.array(values, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=batch.schema.names)
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, even: float = EVEN, groups=GROUPS, sample: int = SAMPLE) -> Model:
     """Learns from ``labels`` (doc_id, toxic 0 or 1) of ``docs`` (doc_id, text).
 
     At most about ``sample`` labelled rows of each class, taken by a hash of the
     id, are read. Labels that are null, unknown ids and null ids don't count.
+    The features that get a weight are chosen where the rows lie; the driver
+    sees a row's toxicity and those of its features, ``FEATURES`` at most.
     """
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("labelled_id"), F.col("toxic").cast("int").alias("toxic"))
     share = {r.toxic: min(1.0, sample / r["count"]) for r in known.groupBy("toxic").count().collect()}
     place = F.pmod(F.xxhash64("labelled_id", F.lit(5)), F.lit(1 << 30)) / (1 << 30)
     some = known.where(F.when(F.col("toxic") == 1, F.lit(share.get(1, 1.0))).otherwise(F.lit(share.get(0, 1.0))) > place)
+    texts = docs.select(F.col("doc_id").cast("long").alias("labelled_id"), F.col("text").cast("string").alias("text"))
     # About 2 * sample rows of two numbers, whatever the input's size.
-    rows = docs.join(F.broadcast(some), docs["doc_id"].cast("long") == F.col("labelled_id")).select("toxic", docs["text"].cast("string"))
-    got = rows.mapInArrow(_sampler(groups), "toxic int, own array<long>, gone array<long>, come array<long>").toArrow()
+    rows = texts.join(F.broadcast(some), "labelled_id").select("toxic", "text")
+    work = Workspace(docs.sparkSession, "toxicity")
+    rows = work.keep(rows.mapInArrow(_sampler(groups), _SAMPLED), "sample")
+    size = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    names = np.sort(np.array(_telling(rows, size[1], size[0]) if len(size) == 2 else [], np.int64))
+    got = rows.mapInArrow(_only(names), _SAMPLED).toArrow()
+    work.drop(rows)
 
     def lists(name: str) -> list[np.ndarray]:
         column = got[name].combine_chunks()
@@ -243,6 +279,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
 
     Without labels of both classes the score is the share of the one there is.
     Rows that repeat a doc_id are scored one by one; an empty table gives none.
+    Other columns of ``docs``, whatever their names, play no part.
     """
     out = docs.select("doc_id", scorer(fit(docs, labels, **options))(F.col("text").cast("string")).alias("score"))
     return out.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
