@@ -19,23 +19,70 @@ from pyspark.sql import functions as F
 
 from tamarind.llm.workspace import Workspace
 
-_KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
+_KINDS = {"string": str, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
+#: Keywords of JSON Schema that are checked, and those that only describe.
+CHECKED = {
+    "type", "enum", "const", "minimum", "maximum", "minLength", "maxLength", "minItems", "maxItems", "required", "properties", "additionalProperties", "items",
+}
+DESCRIBING = {"title", "description", "default", "examples", "$schema", "$comment"}
+
+
+def check_schema(schema: dict, at: str = "$") -> None:
+    """Raises on keywords and types that :func:`errors_of` would pass over."""
+    unknown = set(schema) - CHECKED - DESCRIBING
+    if unknown:
+        raise ValueError(f"{at}: keywords not supported: {', '.join(sorted(unknown))}")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind != "integer" and kind not in _KINDS:
+            raise ValueError(f"{at}: no type {kind}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{at}: additionalProperties must be true or false")
+    for name, below in schema.get("properties", {}).items():
+        check_schema(below, f"{at}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
+
+
+def _is(value, kind: str) -> bool:
+    """Whether a value is of a type of JSON Schema; 1.0 is an integer, true is no number."""
+    if isinstance(value, bool):
+        return kind == "boolean"
+    if kind == "integer":
+        return isinstance(value, int) or isinstance(value, float) and value.is_integer()
+    return isinstance(value, _KINDS[kind])
+
+
+def _equal(a, b) -> bool:
+    """Equality of JSON values: numbers by value, true and 1 apart."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_equal, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_equal(a[k], b[k]) for k in a)
+    return a == b
 
 
 def errors_of(value, schema: dict, at: str = "$") -> list[str]:
-    """What in ``value`` breaks ``schema``: type, enum, minimum, maximum, required,
-    properties, additionalProperties and items of JSON Schema."""
-    kind = schema.get("type")
-    if kind and (not isinstance(value, _KINDS[kind]) or kind in ("integer", "number") and isinstance(value, bool)):
-        return [f"{at}: not of type {kind}"]
+    """What in ``value`` breaks ``schema``, by the keywords in ``CHECKED``."""
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(_is(value, kind) for kind in kinds):
+        return [f"{at}: not of type {' or '.join(kinds)}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(_equal(value, x) for x in schema["enum"]):
         out.append(f"{at}: not one of the allowed values")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
+    if "const" in schema and not _equal(value, schema["const"]):
+        out.append(f"{at}: not the allowed value")
+    if _is(value, "number"):
         if value < schema.get("minimum", value):
             out.append(f"{at}: below {schema['minimum']}")
         if value > schema.get("maximum", value):
             out.append(f"{at}: above {schema['maximum']}")
+    for kind, least, most in ((str, "minLength", "maxLength"), (list, "minItems", "maxItems")):
+        if isinstance(value, kind) and not schema.get(least, 0) <= len(value) <= schema.get(most, len(value)):
+            out.append(f"{at}: length {len(value)} not allowed")
     if isinstance(value, dict):
         known = schema.get("properties", {})
         out += [f"{at}.{k}: missing" for k in sorted(schema.get("required", [])) if k not in value]
@@ -52,7 +99,23 @@ def errors_of(value, schema: dict, at: str = "$") -> list[str]:
 
 def canonical(value) -> str:
     """JSON with sorted keys, without spaces, in plain Unicode."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def _no_number(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+def parsed(text: str):
+    """The value of a JSON text. ValueError for what isn't JSON, for half surrogate
+    pairs (no Unicode text can hold them), for numbers beyond the range of doubles
+    and for nesting that is too deep to be followed."""
+    try:
+        value = json.loads(text, parse_constant=_no_number)
+        canonical(value).encode()
+    except RecursionError as error:
+        raise ValueError("nested too deeply") from error
+    return value
 
 
 def _finisher(schemas: dict[str, dict]):
@@ -65,7 +128,7 @@ def _finisher(schemas: dict[str, dict]):
             for call_id, name, arguments, result in zip(f.call_id, f.name, f.arguments, f.result):
                 name, found, value = none(name), [], None
                 try:
-                    value = json.loads(none(arguments) or "")
+                    value = parsed(none(arguments) or "")
                 except ValueError:
                     found = ["$: not JSON"]
                 if name not in schemas:
@@ -139,8 +202,12 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     (no result) or ``orphan`` (a result without call, not valid, no level). Of
     repeated calls with an id the least (name, arguments) counts, of repeated
     results the least content. Order calls by (level, call_id). Rows without call
-    id are left out; a null conversation is one of its own. Empty tables give no rows.
+    id are left out; a null conversation is one of its own. Empty tables give no rows;
+    other columns play no part. Arguments that :func:`parsed` refuses are shown as text
+    and not valid; a schema with keywords that aren't checked is refused (ValueError).
     """
+    for name, schema in schemas.items():
+        check_schema(schema, name)
     work = Workspace(calls.sparkSession, "calls")
     calls = calls.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(F.struct("name", "arguments", "after")).alias("call")).select("conv_id", "call_id", "call.*")
     calls = work.keep(calls, "calls")
