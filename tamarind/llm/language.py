@@ -23,7 +23,6 @@ LENGTH = 300
 UNKNOWN = "und"
 _CHARS = 1 << 18  # handled at once
 _TEXTS = 4095
-_MOST = (1 << 20) - 1
 _HELD = 1 << 20  # sequences a task counts before it hands them on
 
 
@@ -145,12 +144,13 @@ class Ranks:
             return langs, scores
         for i, j, keys, counts in _counts([(t or "").lower() for t in texts]):
             doc = keys >> np.uint64(32)
-            order = np.sort((doc << np.uint64(52)) | ((_MOST - np.minimum(counts, _MOST)).astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF)))
-            doc = (order >> np.uint64(52)).astype(np.int64)
+            names = keys & np.uint64(0xFFFFFFFF)
+            order = np.lexsort((names, -counts, doc))
+            doc, names = doc[order].astype(np.int64), names[order]
             first = np.searchsorted(doc, np.arange(j - i + 1))
             place = np.arange(len(doc)) - first[doc]
             use = place < self.length
-            doc, place, names = doc[use], place[use], order[use] & np.uint64(0xFFFFFFFF)
+            doc, place, names = doc[use], place[use], names[use]
             at = np.searchsorted(self.names, names)
             at[(at == len(self.names)) | (self.names[np.minimum(at, len(self.names) - 1)] != names)] = len(self.names)
             rank = self.rank[at]
