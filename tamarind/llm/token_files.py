@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamarind.llm.encoder import encoder, vocabulary_path
@@ -29,13 +29,30 @@ BLOCK = 4 << 20  # bytes
 ID = np.dtype("<u2")
 
 
+#: Schemes of Hadoop paths, and pyarrow's names for them.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's full address, as Hadoop reads it: without a scheme it lies in
+    Spark's default file system. ValueError for stores that tasks can't open."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+    scheme, _, rest = full.partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"token files can't be written to {scheme}: of {', '.join(SCHEMES)} only")
+    return f"{SCHEMES[scheme]}://{rest.removeprefix('//')}"
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return fs.FileSystem.from_uri(path)
 
 
 def _writer(folder: str, vocabulary: str, separator: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary, special=False)
+        if max(len(code.bytes_of) - 1, separator) > np.iinfo(ID).max:
+            raise ValueError(f"{vocabulary} has ids beyond {np.iinfo(ID).max}, which files of 16-bit ids can't hold")
         system, where = _place(folder)
         # A task that is tried again writes another file; only the rows of the successful one are read.
         name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids"
@@ -60,6 +77,7 @@ def write_flat(docs: DataFrame, folder: str, work: Workspace, vocabulary: str |
     """Writes a flat file for each partition of ``docs``; returns which document
     went where (file, seq, doc_id, n_bytes). The files hold ids alone."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    folder = _qualified(docs.sparkSession, folder)
     return work.keep(texts.mapInArrow(_writer(folder, vocabulary or vocabulary_path(), separator), "file string, seq long, doc_id long, n_bytes long"), "written")
 
 
@@ -91,6 +109,7 @@ def scan_documents(files: DataFrame, folder: str, work: Workspace, separator: in
     start = F.col("block") * block_bytes
     blocks = blocks.select("file", "block", start.alias("start"), F.least(F.lit(block_bytes), F.col("n_bytes") - start).alias("length"))
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folder = _qualified(files.sparkSession, folder)
     found = blocks.repartition(n, "file", "block").mapInArrow(_scanner(folder, separator), "file string, block long, n_ids long, at array<long>")
     found = work.keep(found, "blocks")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
