@@ -15,9 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarind.llm.workspace import Workspace
+
 SEED = "mix-1"
 EXPONENT = 0.5  # of a source's size, where no weights are given
 EPOCHS = 1.0
+SOURCES = 2000  # rates that every task gets; about 7 KB each at most
+SPREAD = 64  # parts of a source where there are more
 LARGEST = 500.0  # rate of one inverted variable; exp(-rate) is 0 in doubles from 746 on
 
 
@@ -62,23 +66,35 @@ def replicate(docs: DataFrame, rate: DataFrame, seed: str = SEED) -> DataFrame:
     """``docs`` with each row as often as its source's rate says, in random order.
 
     Adds ``mix_copy`` (1 and up), ``mix_copies`` and ``mix_key``, by which rows
-    are dealt out and ordered. Rows without source are a source of their own.
-    Rows that repeat a doc_id are repeated alike; those without one are drawn by
-    their text. A rate of 0 leaves none.
+    are dealt out and ordered; columns of these names give way. Rows without
+    source are a source of their own. Rows that repeat a doc_id are repeated
+    alike; those without one are drawn by their text. A rate of 0 leaves none;
+    an empty table gives no rows.
+
+    Rows meet their source's rate where they lie: up to ``SOURCES`` rates are
+    handed to all tasks; beyond, rows are spread over ``SPREAD`` parts of a source.
     """
-    key = F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("text:"), F.coalesce(docs["text"], F.lit(""))))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.coalesce("text", F.lit(""))))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"), F.col("source").cast("string").alias("of"))
     # A sum of independent Poisson variables is one of the summed rates.
     parts = F.greatest(F.ceil(F.col("rate") / LARGEST), F.lit(1)).cast("int")
-    sums = rate.select("mix_source", F.col("rate").alias("mix_rate"), parts.alias("mix_parts"), _cumulative(F.col("rate") / parts).alias("mix_sums"))
-    both = docs.join(sums, docs["source"].cast("string").eqNullSafe(F.col("mix_source")))
-    numbers = F.transform(F.sequence(F.lit(0), F.col("mix_parts") - 1), lambda part: uniform(key, seed, part))
-    both = both.withColumn("mix_us", numbers).withColumn("mix_id", key)
-    drawn = F.aggregate("mix_us", F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("mix_sums", lambda p: p <= u)))
-    count = F.when(F.col("mix_rate") > 0, drawn).otherwise(0)
-    both = both.withColumn("mix_copies", count.cast("long")).where("mix_copies > 0")
-    both = both.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))))
-    both = both.withColumn("mix_key", F.substring(F.md5(F.concat("mix_id", F.lit("|"), F.col("mix_copy").cast("string"), F.lit(f"|{seed}|order"))), 1, 16))
-    out = both.select(*[docs[f"`{c}`"] for c in docs.columns], "mix_copy", "mix_copies", "mix_key")
+    sums = rate.select("mix_source", "rate", parts.alias("parts"), _cumulative(F.col("rate") / parts).alias("sums"))
+    sums = Workspace(docs.sparkSession, "mixing").keep(sums, "rates")
+    same = F.col("of").eqNullSafe(F.col("mix_source"))
+    if sums.count() <= SOURCES:
+        both = rows.join(F.broadcast(sums), same)
+    else:
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SPREAD)).cast("int"))
+        sums = sums.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        both = rows.join(sums, same & (F.col("salt") == F.col("part")))
+    numbers = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda part: uniform(F.col("key"), seed, part))
+    drawn = F.aggregate(numbers, F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("sums", lambda p: p <= u)))
+    both = both.withColumn("copies", F.when(F.col("rate") > 0, drawn).otherwise(0).cast("long")).where("copies > 0")
+    both = both.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    order = F.substring(F.md5(F.concat("key", F.lit("|"), F.col("copy").cast("string"), F.lit(f"|{seed}|order"))), 1, 16)
+    added = {"mix_copy": F.col("copy"), "mix_copies": F.col("copies"), "mix_key": order}
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in added]
+    out = both.select(*kept, *[c.alias(name) for name, c in added.items()])
     return out.repartition("mix_key").sortWithinPartitions("mix_key")
 
 
