@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tamarind.llm.workspace import Workspace
@@ -17,21 +17,23 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
     can split, so a node with very many edges is no single task's work. Nulls
     and loops are left out; no edges give no rows.
     """
-    now = work.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    def counted(df: DataFrame) -> tuple[DataFrame, dict]:
+        """Written edges, and what tells two sets of them apart, gathered while they are written."""
+        mark = Observation()
+        seen = df.observe(mark, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"))
+        return work.keep(seen, "edges"), mark.get
+
+    now, mark = counted(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
-    while True:
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if mark == seen or not mark.n:
-            break
-        seen = mark
+    while mark != seen and mark["n"]:
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = work.keep(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = work.keep(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        work.drop(now, large)
-        now = after
+        seen, before = mark, now
+        now, mark = counted(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+        work.drop(before, large)
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("comp"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionAll(roots)

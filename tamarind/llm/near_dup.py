@@ -22,7 +22,6 @@ components is lost. Every link is confirmed on full sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +31,7 @@ from pyspark.sql import functions as F
 from tamarind.llm.components import components
 from tamarind.llm.words import chunks, mix, shingles, word_hashes
 from tamarind.llm.workspace import Workspace
+from tamarind.operators.keyed import spread_join
 
 CHUNKS, PER_CHUNK = 12, 5
 SYMBOLS = CHUNKS * PER_CHUNK
@@ -106,11 +106,12 @@ def _sketcher(words: int):
 
 
 def _set_maker(words: int):
-    """(node, set) of texts; a row whose text gives another node is left out."""
+    """(node, set) of texts; a row whose text gives another node than the wanted one, if that isn't null, is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(0).to_numpy(zero_copy_only=False)
+            any_node = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            wanted = batch.column(0).fill_null(0).to_numpy()
             for i, j, data, offsets in chunks(batch.column(1)):
                 sets = list(shingles(*word_hashes(data, offsets), words))
                 nodes = np.zeros(len(sets), np.int64)
@@ -120,7 +121,7 @@ def _set_maker(words: int):
                     starts = np.concatenate([[0], np.cumsum([len(s) for s in flat])[:-1]])
                     sums = np.add.reduceat(mix(np.concatenate(flat)), starts) + mix(np.array([len(s) for s in flat], np.uint64))
                     nodes[full] = mix(sums).view(np.int64)
-                use = [n for n in full if nodes[n] == wanted[i + n]]
+                use = [n for n in full if any_node[i + n] or nodes[n] == wanted[i + n]]
                 if use:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(nodes[use]), pa.array([sets[n].view(np.int64) for n in use], pa.list_(pa.int64()))], names=["node", "shingles"]
@@ -206,7 +207,8 @@ def _across(rest: DataFrame, nodes: DataFrame, sigs: DataFrame, sets: DataFrame,
     family = work.keep(components(rest.select(F.col("node").alias("a"), F.col("pivot").alias("b")), work).withColumnRenamed("comp", "family"), "family")
     of = family.join(nodes.select("node", "n"), "node").groupBy("family").agg(F.count("*").alias("count"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("count") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    of = family.join(of.select("family", blocks.alias("blocks")), "family")
+    # A family may hold a large part of the nodes: its rows are spread by node.
+    of = spread_join(family, of.select("family", blocks.alias("blocks")), ["family"], by="node", ways=64)
     comp = rest.select("node", "comp").distinct()
     some = of.where(F.col("blocks") <= FAMILY_BLOCKS).join(comp, "node").withColumn("block", F.pmod(F.hash("node"), "blocks"))
     some = some.join(sigs.select("node", "sig"), "node").join(sets, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -221,6 +223,24 @@ def _across(rest: DataFrame, nodes: DataFrame, sigs: DataFrame, sets: DataFrame,
     return work.keep(dense.unionAll(_confirmed(pairs, sets, percent)), "links")
 
 
+def _contracted(labels: DataFrame | None, links: DataFrame, work: Workspace) -> DataFrame:
+    """(node, comp) after ``links`` (a, b) have joined components of ``labels``.
+
+    Only the graph of components that the new links touch is resolved; earlier
+    links are not looked at again.
+    """
+    if labels is None:
+        return work.keep(components(links, work), "labels")
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    merged = work.keep(components(ends.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")), work), "merged")
+    moved = labels.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+    moved = moved.select("node", F.coalesce("to", "comp").alias("comp"))
+    after = work.keep(moved.unionAll(merged.join(labels.select("node"), "node", "left_anti")), "labels")
+    work.drop(labels, merged, links)
+    return after
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text).
 
@@ -248,13 +268,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     shared = every.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     keys = work.keep(every.join(shared, "key"), "keys")
     involved = keys.select("node").distinct().join(nodes.select("node", "first_id"), "node")
-    found = texts.join(involved.withColumnRenamed("first_id", "id_of_first"), F.col("doc_id").eqNullSafe(F.col("id_of_first")))
-    sets = found.select("node", "text").mapInArrow(_set_maker(words), "node long, shingles array<long>").dropDuplicates(["node"])
-    sets = work.keep(sets, "sets")
+    # Rows with an id find their node by it; those without make their node anew, so that they don't all meet each other.
+    found = texts.join(involved.where("first_id IS NOT NULL").select("node", F.col("first_id").alias("doc_id")), "doc_id").select("node", "text")
+    nameless = texts.where("doc_id IS NULL").select(F.lit(None).cast("long").alias("node"), "text")
+    maker = _set_maker(words), "node long, shingles array<long>"
+    nameless = nameless.mapInArrow(*maker).join(involved.where("first_id IS NULL").select("node"), "node", "left_semi")
+    sets = work.keep(found.mapInArrow(*maker).unionAll(nameless).dropDuplicates(["node"]), "sets")
     sigs = nodes.select("node", "n", "sig")
     side = lambda x: sigs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
 
-    links, labels = [], None
+    labels = None
     for turn in range(ROUNDS + 1):
         members = keys.withColumn("comp", F.col("node")) if labels is None else keys.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         members = members.select("key", "node", "comp")
@@ -268,9 +291,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         else:
             rest = work.keep(members.join(mixed.select("key", F.col("pivot.node").alias("pivot")), "key"), "rest")
             new = _across(rest, nodes, sigs, sets, percent, work)
-        links.append(new)
         if not new.isEmpty():
-            labels = work.keep(components(reduce(DataFrame.unionAll, links), work), "labels")
+            labels = _contracted(labels, new, work)
 
     of_node = nodes.select("node", "first_id")
     if labels is not None:
