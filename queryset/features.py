@@ -419,8 +419,9 @@ FROM before b JOIN after a ON a.store_id = b.store_id AND a.starting_point_id =
     before=point_sql(DEA, "before", share_zero=False), after=point_sql(REACT, "after"),
 )
 def _(t):
-    before = growth.point_week(t, t.label_danp, DEA, "before", partner_default=False)
-    after = growth.point_week(t, t.label_danp, REACT, "after")
+    weeks = growth.point_totals(t, t.label_danp, DEA, REACT)
+    before = growth.point_week(t, t.label_danp, DEA, "before", partner_default=False, totals=weeks)
+    after = growth.point_week(t, t.label_danp, REACT, "after", totals=weeks)
     return growth.point_growth(before, after, DEA, REACT)
 
 

@@ -11,8 +11,8 @@ from tamarind.functions.exprs import ratio
 from tamarind.operators.ranking import in_ranges
 from tamarind.session import cut_lineage
 
-CELLS = 512  # at most about this many rank cells per axis
-MIN_CELL_ROWS = 1024
+CELLS = 256  # about the number of rank cells per axis into which a group of points is cut
+GROUP_POINTS = 1 << 18  # points whose pairs one task counts
 
 
 def error_sums(df: DataFrame, pred: str = "pred", actual: str = "actual") -> DataFrame:
@@ -27,18 +27,24 @@ def error_sums(df: DataFrame, pred: str = "pred", actual: str = "actual") -> Dat
     )
 
 
-def value_ranks(df: DataFrame, col: str, weight: str) -> DataFrame:
-    """Per different value: the number of rows below it (``below``) and its
-    own (``own``). Values are ordered inside even ranges only."""
-    values = in_ranges(df.groupBy(col).agg(F.sum(weight).alias("own")), F.col(col).asc())
+def value_ranks(df: DataFrame, col: str, weight: str, group: str | None = None) -> DataFrame:
+    """Per different value (of each group): the number of rows below it (``below``)
+    and its own (``own``). Values are ordered inside even ranges only."""
+    place = [group, col] if group else [col]
+    values = in_ranges(df.groupBy(*place).agg(F.sum(weight).alias("own")), *[F.col(c).asc() for c in place])
     parts = values.groupBy("__part").agg(F.sum("own").alias("n"))
     # A row for each partition of a shuffle.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("__part").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    return values.join(offsets, "__part").select(
-        col, "own", (F.col("offset") + F.coalesce(F.sum("own").over(inside), F.lit(0))).alias("below")
+    inside = Window.partitionBy("__part").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = values.join(offsets, "__part").select(
+        *place, "own", (F.col("offset") + F.coalesce(F.sum("own").over(inside), F.lit(0))).alias("below")
     )
+    if not group:
+        return ranked
+    # Ranks of all groups in a row become those of each group.
+    starts = ranked.groupBy(group).agg(F.min("below").alias("start"))
+    return ranked.join(starts, group).select(*place, "own", (F.col("below") - F.col("start")).alias("below"))
 
 
 def _points(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -90,39 +96,58 @@ def _rising_in_group(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"pairs": [float(pairs)]})
 
 
-def concordant_pairs(pts: DataFrame, rows: int) -> DataFrame:
-    """Number of pairs with larger x and larger y, one row.
-
-    The plane is cut into rank cells. Pairs in different cells on both axes
-    follow from the counts of the grid; pairs that share a cell on one axis are
-    counted inside that cell, which holds a bounded number of points. A value
-    that fills cells on its own has no such pairs and is not looked into.
-    """
-    size = max(MIN_CELL_ROWS, -(-rows // CELLS))
-
-    def cells(axis: str) -> DataFrame:
-        alone = F.col("own") > size
-        cell = 2 * F.floor(F.col("below") / size) + F.when(alone, 1).otherwise(0)
-        return value_ranks(pts, axis, "w").select(
-            axis, cell.cast("long").alias(f"c{axis}"), alone.alias(f"alone_{axis}")
-        )
+def _cells(points: DataFrame, axis: str) -> DataFrame:
+    """The rank cell of each value of ``axis`` in its group (g), and whether the value fills it alone."""
+    size = F.ceil(F.col("total") / CELLS)
+    alone = F.col("own") > size
+    cell = 2 * F.floor(F.col("below") / size) + F.when(alone, 1).otherwise(0)
+    totals = points.groupBy("g").agg(F.sum("w").alias("total"))
+    return value_ranks(points, axis, "w", "g").join(totals, "g").select(
+        "g", axis, cell.cast("long").alias(f"cell_{axis}"), alone.alias(f"alone_{axis}")
+    )
 
-    placed = cut_lineage(pts.join(cells("x"), "x").join(cells("y"), "y"), "cells")
 
-    # Different cells on both axes: only the counts of the grid matter, at most
-    # (2 * CELLS)^2 of them however many rows there are.
-    grid = placed.groupBy("cx", "cy").agg(F.sum("w").alias("w")).select(
-        F.lit(0).alias("g"), F.col("cx").cast("double").alias("c"), F.col("cy").cast("double").alias("v"), "w"
-    )
-    across = grid.groupBy("g").applyInPandas(_rising_in_group, "pairs double")
+def concordant_pairs(pts: DataFrame) -> DataFrame:
+    """Number of pairs of the points (x, y, w) with larger x and larger y, one row.
 
-    # Same x cell: order by x. Same y cell but different x cells: order by the x cell.
-    in_x = placed.where(~F.col("alone_x")).select("cx", F.col("x").alias("c"), F.col("y").alias("v"), "w")
-    in_y = placed.where(~F.col("alone_y")).select("cy", F.col("cx").cast("double").alias("c"), F.col("y").alias("v"), "w")
-    inside = in_x.groupBy("cx").applyInPandas(_rising_in_group, "pairs double").unionByName(
-        in_y.groupBy("cy").applyInPandas(_rising_in_group, "pairs double")
-    )
-    return across.unionByName(inside).agg(F.sum("pairs").alias("concordant"))
+    Level by level. A group of more than ``GROUP_POINTS`` points is cut into rank
+    cells on both axes. Pairs in different cells on both axes follow from the
+    counts of its grid, which has a fixed number of cells. Pairs that share an x
+    cell, and pairs that share a y cell but no x cell, make smaller groups of their
+    own, which the next level cuts or counts; a value that fills a cell alone has
+    no such pairs. Each level makes groups smaller by ``CELLS / 2`` at least and
+    holds a point twice at most for each level before it; groups that are small
+    enough are counted in one task each.
+    """
+    width = 2 * (CELLS + 1)
+    points = pts.select(F.lit(0).cast("long").alias("g"), F.col("x").alias("c"), F.col("y").alias("v"), "w")
+    counted = []
+    while True:
+        sizes = cut_lineage(points.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "group-sizes")
+        large = sizes.where(F.col("n") > GROUP_POINTS).select("g")
+        small = points.join(sizes.where(F.col("n") <= GROUP_POINTS).select("g"), "g")
+        counted.append(small.groupBy("g").applyInPandas(_rising_in_group, "pairs double"))
+        if not large.head(1):
+            break
+        wide = cut_lineage(points.join(large, "g"), "large-groups")
+        placed = wide.join(_cells(wide, "c"), ["g", "c"]).join(_cells(wide, "v"), ["g", "v"])
+        placed = cut_lineage(placed, "cells")
+        x_cell, y_cell = F.col("cell_c"), F.col("cell_v")
+        grid = placed.groupBy("g", "cell_c", "cell_v").agg(F.sum("w").alias("w"))
+        grid = grid.select("g", x_cell.cast("double").alias("c"), y_cell.cast("double").alias("v"), "w")
+        counted.append(grid.groupBy("g").applyInPandas(_rising_in_group, "pairs double"))
+        # A group's number names the cells it came from: no two have the same.
+        in_x = placed.where(~F.col("alone_c")).select(
+            ((F.col("g") * width + x_cell) * 2).alias("g"), "c", "v", "w"
+        )
+        in_y = placed.where(~F.col("alone_v")).select(
+            ((F.col("g") * width + y_cell) * 2 + 1).alias("g"), x_cell.cast("double").alias("c"), "v", "w"
+        )
+        points = cut_lineage(in_x.unionByName(in_y).groupBy("g", "c", "v").agg(F.sum("w").alias("w")), "groups")
+    every = counted[0]
+    for part in counted[1:]:
+        every = every.unionByName(part)
+    return every.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("concordant"))
 
 
 def kendall(df: DataFrame, x: str = "actual", y: str = "pred") -> DataFrame:
@@ -140,7 +165,7 @@ def kendall(df: DataFrame, x: str = "actual", y: str = "pred") -> DataFrame:
     ty = tied(pts.groupBy("y").agg(F.sum("w").alias("n")))
     txy = tied(pts.select(F.col("w").alias("n")))
     every = F.lit(float(rows) * (rows - 1) / 2)
-    rising = concordant_pairs(pts, rows).withColumns({"tx": tx, "ty": ty, "txy": txy})
+    rising = concordant_pairs(pts).withColumns({"tx": tx, "ty": ty, "txy": txy})
     falling = every - F.col("tx") - F.col("ty") + F.col("txy") - F.col("concordant")
     scale = F.sqrt((every - F.col("tx")) * (every - F.col("ty")))
     return rising.select(ratio(F.col("concordant") - falling, scale).alias("kendall"))

@@ -18,6 +18,7 @@ from pyspark.sql import Window
 from tamarind.functions.exprs import DateLike, flag, is_true
 from tamarind.operators.keyed import join_null_safe
 from tamarind.operators.sliding import sliding_totals
+from tamarind.session import cut_lineage
 
 Attach = Callable[[DataFrame], DataFrame]
 
@@ -104,46 +105,84 @@ def delivery_windows(
     return sliding_totals(facts, keys, dates, lo, hi, sums, distinct, day, as_name)
 
 
+BIN_VALUES = 1 << 17  # different values of a bin that one task may order
+SPLIT = 1024  # parts into which a larger bin is cut
+
+
 def _bin(value: Column) -> Column:
-    """Order-preserving coarse bin: at most 1/64 of an octave wide, and a
-    bounded number of bins whatever the data."""
+    """Order-preserving coarse bin, at most 1/64 of an octave wide."""
     v = value.cast("double")
     return (F.signum(v) * F.floor(F.log2(1 + F.abs(v)) * 64)).cast("long")
 
 
+def _sub_bin(value: Column, least: Column, most: Column) -> Column:
+    """One of ``SPLIT`` even parts of the span from ``least`` to ``most``; rises
+    with the value, and the two ends never share a part."""
+    share = (value.cast("double") - least) / F.nullif(most - least, F.lit(0.0))
+    return F.least(F.coalesce(F.floor(share * SPLIT), F.lit(0)), F.lit(SPLIT - 1)).cast("long")
+
+
 def weighted_medians(
     dist: DataFrame, keys: Sequence[str], value: str, counts: Sequence[str], names: Sequence[str]
 ) -> DataFrame:
     """Exact medians per key from a distribution (key, value, counts).
 
-    One median per count column. The middle ranks are located in coarse bins
-    first; only the values of the bins that hold them are ordered, per
-    (key, bin). No task ever orders all values of a key.
+    One median per count column; NULL keys are keys, NULL values play no part.
+    The middle ranks are located in a histogram of coarse bins. A bin that holds
+    one and has too many different values is cut into even parts of its own span,
+    which are counted in turn, until what holds the middle ranks is small; a
+    level leaves behind all values of the other bins. Values are ordered only per
+    (key, small bin), so no task's work grows with the values of a key, however
+    dense. The levels are written when the plan is built.
     """
-    binned = dist.where(F.col(value).isNotNull()).withColumn("__bin", _bin(F.col(value)))
-    per_key = Window.partitionBy(*keys)
-    before = per_key.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = binned.groupBy(*keys, "__bin").agg(*[F.sum(c).alias(c) for c in counts])
-    located = bins.select(
-        *keys,
-        "__bin",
-        *[F.col(c).alias(f"__in_{c}") for c in counts],
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__before_{c}") for c in counts],
-        *[F.sum(c).over(per_key).alias(f"__all_{c}") for c in counts],
-    )
+    rows = cut_lineage(dist.where(F.col(value).isNotNull()).select(*keys, value, *counts), "distribution")
+    none = {f"__before_{c}": F.lit(0).cast("long") for c in counts}
+    binned = rows.withColumns({"__node": F.lit(0).cast("long"), "__bin": _bin(F.col(value)), **none})
     low = {c: F.floor((F.col(f"__all_{c}") + 1) / 2) for c in counts}
     high = {c: F.floor((F.col(f"__all_{c}") + 2) / 2) for c in counts}
-    holds = F.lit(False)
-    for c in counts:
-        upto = F.col(f"__before_{c}") + F.col(f"__in_{c}")
-        holds = holds | (
-            (F.col(f"__all_{c}") > 0) & (F.col(f"__before_{c}") < high[c]) & (upto >= low[c])
+    first = True
+    while True:
+        node = [*keys, "__node"]
+        inside = Window.partitionBy(*node)
+        before = inside.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+        # Of the first level, the counts of all bins are those of the key.
+        bins = binned.groupBy(*node, "__bin").agg(
+            F.count(F.lit(1)).alias("__values"),
+            F.min(F.col(value).cast("double")).alias("__least"),
+            F.max(F.col(value).cast("double")).alias("__most"),
+            *[F.sum(c).alias(c) for c in counts],
+            *[F.min(f"__before_{c}").alias(f"__upto_{c}") for c in counts],
+            *[F.lit(None).cast("long").alias(f"__all_{c}") if first else F.min(f"__all_{c}").alias(f"__all_{c}") for c in counts],
         )
-    middle = binned.join(located.where(holds), [*keys, "__bin"])
-    in_bin = Window.partitionBy(*keys, "__bin").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = middle.withColumns(
-        {f"__run_{c}": F.col(f"__before_{c}") + F.sum(c).over(in_bin) for c in counts}
-    )
+        located = bins.select(
+            *node, "__bin", "__values", "__least", "__most",
+            *[F.col(c).alias(f"__in_{c}") for c in counts],
+            *[(F.col(f"__upto_{c}") + F.coalesce(F.sum(c).over(before), F.lit(0))).alias(f"__before_{c}") for c in counts],
+            *[F.coalesce(f"__all_{c}", F.sum(c).over(inside)).alias(f"__all_{c}") for c in counts],
+        )
+        holds = F.lit(False)
+        for c in counts:
+            upto = F.col(f"__before_{c}") + F.col(f"__in_{c}")
+            holds = holds | ((F.col(f"__all_{c}") > 0) & (F.col(f"__before_{c}") < high[c]) & (upto >= low[c]))
+        # A bin of one level is a node of the next.
+        place = F.dense_rank().over(Window.partitionBy(*keys).orderBy("__node", "__bin")).cast("long")
+        located = located.where(holds).withColumn("__next", place).drop(*[f"__in_{c}" for c in counts])
+        located = cut_lineage(located, "bins")
+        middle = join_null_safe(binned.select(*node, "__bin", value, *counts), located, [*node, "__bin"], "inner")
+        if not located.where((F.col("__values") > BIN_VALUES) & (F.col("__least") < F.col("__most"))).head(1):
+            break
+        cut = F.when(F.col("__values") > BIN_VALUES, _sub_bin(F.col(value), F.col("__least"), F.col("__most"))).otherwise(F.lit(0))
+        binned = cut_lineage(
+            middle.select(
+                *keys, value, *counts, F.col("__next").alias("__node"), cut.cast("long").alias("__bin"),
+                *[f"__before_{c}" for c in counts], *[f"__all_{c}" for c in counts],
+            ),
+            "middle",
+        )
+        first = False
+
+    in_bin = Window.partitionBy(*keys, "__node", "__bin").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = middle.withColumns({f"__run_{c}": F.col(f"__before_{c}") + F.sum(c).over(in_bin) for c in counts})
 
     def at(rank: dict[str, Column], c: str) -> Column:
         reached = (F.col(f"__all_{c}") > 0) & (F.col(f"__run_{c}") >= rank[c])

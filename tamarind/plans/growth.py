@@ -9,12 +9,37 @@ from tamarind.functions.exprs import dollars, ratio, safe_ratio
 from tamarind.operators.asof import pair_in_window
 from tamarind.operators.keyed import with_defaults
 from tamarind.operators.rollup import delivery_totals
+from tamarind.session import cut_lineage
 from tamarind.sources.tables import Tables
 
 WEEK_TO_ANCHOR = (-6, 0)  # half-open seven days ending on the anchor
 SCORING_FEE = 2.25  # fixed fee of the later week when scoring
 
 
+def point_totals(tables: Tables, population: DataFrame, *at: str) -> DataFrame:
+    """Totals of the population's starting points in the seven days up to each
+    day of the columns ``at``, per (starting point, ``week_end``).
+
+    A week that ends a deactivation and one that ends an activation are the same
+    to the fact, so all columns are served by one pass over it. Of several
+    columns the totals are written once, for all that read them.
+    """
+    place = ["starting_point_id", "week_end"]
+    wanted = None
+    for col in at:
+        days = population.select("starting_point_id", F.col(col).alias("week_end"))
+        wanted = days if wanted is None else wanted.unionByName(days)
+    anchors = wanted.where(F.col("starting_point_id").isNotNull() & F.col("week_end").isNotNull()).distinct()
+    week = delivery_totals(
+        tables.core,
+        ["starting_point_id"],
+        lambda df: pair_in_window(anchors, df, ["starting_point_id"], "week_end", "active_date", *WEEK_TO_ANCHOR),
+        place,
+        ids=["creator_id", "delivery_id"],
+    )
+    return cut_lineage(week, "point-weeks") if len(at) > 1 else week
+
+
 def point_week(
     tables: Tables,
     population: DataFrame,
@@ -23,24 +48,17 @@ def point_week(
     fixed_fee: float | None = None,
     partner_default: bool = True,
     extra: tuple[str, ...] = (),
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Stats of the store's starting point in the seven days up to ``at``.
 
-    Computed once per (starting point, date) and handed back to the stores.
+    Computed once per (starting point, date) and handed back to the stores;
+    ``totals`` are those of :func:`point_totals` where several weeks share them.
     One row per (store, starting point, date, extra columns); plain sums count
     once per population row of these.
     """
     place = ["starting_point_id", at]
-    anchors = population.select(*place).where(
-        F.col("starting_point_id").isNotNull() & F.col(at).isNotNull()
-    ).distinct()
-    week = delivery_totals(
-        tables.core,
-        ["starting_point_id"],
-        lambda df: pair_in_window(anchors, df, ["starting_point_id"], at, "active_date", *WEEK_TO_ANCHOR),
-        place,
-        ids=["creator_id", "delivery_id"],
-    )
+    week = (point_totals(tables, population, at) if totals is None else totals).withColumnRenamed("week_end", at)
     stores = population.groupBy("store_id", *place, *extra).agg(F.count(F.lit(1)).alias("copies"))
     share = ratio("partner_rows", "orders")
     out = stores.join(week, place, "left").select(

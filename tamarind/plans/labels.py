@@ -136,8 +136,9 @@ def danp_monthly_label(
         tables, anchors, at=dea, fill_zero=False, extra=("match_id", act)
     ).drop("match_id", act)
     firm = business.business_before(tables, anchors, act).withColumnRenamed(act, "__act")
-    before = growth.point_week(tables, anchors, dea, "before", partner_default=False)
-    after = growth.point_week(tables, anchors, act, "after")
+    weeks = growth.point_totals(tables, anchors, dea, act)
+    before = growth.point_week(tables, anchors, dea, "before", partner_default=False, totals=weeks)
+    after = growth.point_week(tables, anchors, act, "after", totals=weeks)
     grown = growth.point_growth(before, after, dea, act).select(
         "store_id", "starting_point_id", F.col(act).alias("__act"), *growth.GROWTH
     )

@@ -43,8 +43,9 @@ def danp_features(
     days = None if aov else store_stats.HISTORY_DAYS
     stats = store_stats.before_deactivation(tables, people, at=dea, history_days=days, with_aov=aov, extra=(on,))
     firm = business.business_before(tables, people, act, None if aov else business.HISTORY_DAYS)
-    before = growth.point_week(tables, people, dea, "before", extra=(on,))
-    after = growth.point_week(tables, people, act, "after", fixed_fee=growth.SCORING_FEE, extra=(on,))
+    weeks = growth.point_totals(tables, people, dea, act)
+    before = growth.point_week(tables, people, dea, "before", extra=(on,), totals=weeks)
+    after = growth.point_week(tables, people, act, "after", fixed_fee=growth.SCORING_FEE, extra=(on,), totals=weeks)
     grown = growth.point_growth(before, after, dea, act, (on,)).select(
         "store_id", "starting_point_id", act, on, *growth.GROWTH
     )

@@ -92,9 +92,9 @@ def _tau(x, y):
 
 @pytest.mark.parametrize("small_cells", [False, True])
 def test_rank_correlations_with_heavy_ties(spark, monkeypatch, small_cells):
-    if small_cells:  # many cells, and values that fill cells on their own
-        monkeypatch.setattr(metrics, "MIN_CELL_ROWS", 8)
-        monkeypatch.setattr(metrics, "CELLS", 40)
+    if small_cells:  # several levels, and values that fill cells on their own
+        monkeypatch.setattr(metrics, "GROUP_POINTS", 40)
+        monkeypatch.setattr(metrics, "CELLS", 5)
     rng = np.random.default_rng(9)
     x = np.where(rng.random(700) < 0.34, 0.0, rng.integers(-20, 300, 700)).astype(float)
     y = np.where(rng.random(700) < 0.34, 5.0, x + rng.normal(0, 80, 700).round(0))
@@ -108,6 +108,30 @@ def test_rank_correlations_with_heavy_ties(spark, monkeypatch, small_cells):
     assert got.bias == pytest.approx(y.sum() / x.sum() - 1)
 
 
+def test_no_group_of_pairs_exceeds_its_bound(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(metrics, "GROUP_POINTS", 60)
+    monkeypatch.setattr(metrics, "CELLS", 6)
+    whole = metrics.cut_lineage
+
+    def watched(df, label="stage"):
+        out = whole(df, label)
+        if label == "group-sizes":
+            sizes.append([r.n for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(metrics, "cut_lineage", watched)
+    rng = np.random.default_rng(12)
+    x = rng.permutation(900).astype(float)
+    y = np.where(rng.random(900) < 0.3, 7.0, x * rng.choice([-1.0, 1.0], 900))
+    w = rng.integers(1, 5, 900)
+    pts = spark.createDataFrame(pd.DataFrame({"x": x, "y": y, "w": w}))
+    got = metrics.concordant_pairs(pts).first().concordant
+    rising = (x[:, None] < x[None, :]) & (y[:, None] < y[None, :])
+    assert got == (np.outer(w, w) * rising).sum()
+    assert len(sizes) > 2 and max(sizes[-1]) <= 60 and max(sizes[1]) < max(sizes[0]) == 900
+
+
 def test_constant_predictions_have_no_correlation(spark):
     got = metrics.agreement(spark.createDataFrame([(1.0, 2.0), (2.0, 2.0)], "actual double, pred double")).first()
     assert got.pearson is None and got.spearman is None and got.kendall is None

@@ -65,6 +65,41 @@ def test_weighted_medians(spark):
             assert got.loc[k, "some"] == want_some[k]
 
 
+@pytest.mark.parametrize("shape", ["unit", "far", "ties"])
+def test_medians_of_dense_keys_take_small_bins(spark, monkeypatch, shape):
+    """One key with nine tenths of the rows, whose values all fall into few coarse bins."""
+    monkeypatch.setattr(rollup, "BIN_VALUES", 12)
+    monkeypatch.setattr(rollup, "SPLIT", 16)
+    written, whole = [], rollup.cut_lineage
+
+    def watched(df, label="stage"):
+        out = whole(df, label)
+        if label == "bins":
+            written.append(max(r["__values"] for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(rollup, "cut_lineage", watched)
+    rng = random.Random(31)
+    value = {
+        "unit": lambda: rng.random() ** 9,
+        "far": lambda: rng.choice([-1, 1]) * (1e15 + rng.randrange(400)),
+        "ties": lambda: rng.choice([0.25, 0.25 + rng.randrange(60) * 2**-50]),
+    }[shape]
+    rows = [(None if rng.random() < 0.05 else 0 if rng.random() < 0.9 else 1, value(), rng.random() < 0.2) for _ in range(700)]
+    rows += [(0, None, True), (2, None, False)]
+    dist = (
+        spark.createDataFrame(rows, "k long, v double, f boolean")
+        .groupBy("k", "v")
+        .agg(F.count("*").alias("n"), F.sum(X.flag(F.col("f"))).alias("m"))
+    )
+    got = {r.k: (r.all, r.some) for r in rollup.weighted_medians(dist, ["k"], "v", ["n", "m"], ["all", "some"]).collect()}
+    for k in (None, 0, 1):
+        values = [(v, f) for key, v, f in rows if key == k and v is not None]
+        some = [v for v, f in values if f]
+        assert got[k] == (np.median([v for v, _ in values]), np.median(some) if some else None)
+    assert len(written) > 1 and written[-1] <= 12 < written[0]
+
+
 def test_distinct_counts_and_totals_with_many_windows(spark):
     rng = random.Random(4)
     rows = [
