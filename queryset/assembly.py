@@ -213,21 +213,27 @@ AOV_EXTRA = {
 }
 AOV_AFTER = dt.date(1997, 12, 1)
 
-for _version, (_col, _join) in AOV_EXTRA.items():
+
+def aov_training_sql(segment: str, version: str, table: str) -> str:
+    """Order-value training rows, of the labels in ``table``."""
+    col, join = AOV_EXTRA[version]
+    act = "store_activation_date" if segment == "nn" else "reactivation_timestamp"
+    where = "" if segment == "nn" else f"AND x.merchant_type = '{assembly.KIND[segment]}'"
+    cols, joins = vendor_joins("x.match_id", aov=True)
+    return f"""SELECT x.*, x.{act} AS activation_date{col}, f.* EXCLUDE (match_id), {cols}
+FROM {table} x {join} LEFT JOIN found f ON f.match_id = x.match_id {joins}
+WHERE x.create_date = (SELECT max(create_date) FROM {table}) AND x.total_subtotal_first_120_148_days >= 0
+ AND x.{act} > DATE '{AOV_AFTER}' {where}"""
+
+
+for _version in AOV_EXTRA:
     for _segment in ("nn", "ac", "da"):
-        _nn = _segment == "nn"
-        _table = "aov_label_nn" if _nn else "aov_label_danp"
-        _act = "store_activation_date" if _nn else "reactivation_timestamp"
-        _where = "" if _nn else f"AND x.merchant_type = '{assembly.KIND[_segment]}'"
-        _cols, _joins = vendor_joins("x.match_id", aov=True)
+        _kind = "nn" if _segment == "nn" else "danp"
 
         @query(
             f"k35_aov_{_version}_training_set_{_segment}",
-            f"""SELECT x.*, x.{_act} AS activation_date{_col}, f.* EXCLUDE (match_id), {_cols}
-FROM {{{_table}}} x {_join} LEFT JOIN found f ON f.match_id = x.match_id {_joins}
-WHERE x.create_date = (SELECT max(create_date) FROM {{{_table}}}) AND x.total_subtotal_first_120_148_days >= 0
- AND x.{_act} > DATE '{AOV_AFTER}' {_where}""",
-            **SEARCHED["nn" if _nn else "danp"], **VENDOR,
+            aov_training_sql(_segment, _version, f"{{aov_label_{_kind}}}"),
+            **SEARCHED[_kind], **VENDOR,
         )
         def _(t, segment=_segment, version=_version):
             return assembly.aov_training_set(t, segment, version, AOV_AFTER)

@@ -205,11 +205,30 @@ for _segment in segments.SEGMENTS:
         return Dataset(segment, lambda: q_assembly.scoring(t, segment), list(columns)).load()
 
 
+def _aov_loaded_sql(segment: str, version: str) -> str:
+    """Labels first, so that of columns which both have theirs are taken."""
+    cols = [f"strftime({c}, '%Y-%m-%d') AS {c}" if c == "activation_date" else c for c in segments.spec(segment, version).training_columns]
+    return f"SELECT {', '.join(cols)} FROM (\n{q_assembly.aov_training_sql(segment, version, 'labelled')}\n) loaded"
+
+
+def _aov_steps(segment: str) -> dict[str, str]:
+    """The features of the test day by merchant, next to its labels."""
+    kind = "nn" if segment == "nn" else "danp"
+    steps = q_assembly.nn_steps(True) if kind == "nn" else q_assembly.danp_steps(True)
+    labelled = f"""SELECT l.*, r.* FROM {{aov_label_{kind}}} l
+LEFT JOIN (SELECT DISTINCT ON (match_id) * FROM {kind}_rows ORDER BY match_id) r ON r.match_id = l.match_id"""
+    return {**steps, "labelled": labelled, **q_assembly.SEARCHED[kind], **q_assembly.VENDOR}
+
+
 for _version in AOV_VERSIONS:
     for _segment in segments.SEGMENTS:
 
         # The loader of ac goes by the version alone.
-        @query(f"l16_load_aov_{_version}" + ("" if _segment == "ac" else f"_{_segment}"))
+        @query(
+            f"l16_load_aov_{_version}" + ("" if _segment == "ac" else f"_{_segment}"),
+            _aov_loaded_sql(_segment, _version),
+            **_aov_steps(_segment),
+        )
         def _(t, segment=_segment, version=_version):
             s = segments.spec(segment, version)
             return Dataset(
@@ -217,6 +236,41 @@ for _version in AOV_VERSIONS:
             ).load()
 
 
+# Models and their columns ----------------------------------------------------
+
+
+def _contract_sql(segment: str) -> str:
+    s = segments.spec(segment)
+    items = [
+        f"struct_pack(segment := '{segment}', column_name := '{c}', kind := '{kind}', place := {n}, \"rows\" := n, present := n_{c})"
+        for kind, columns in (("num", s.num), ("cat", s.cat), ("label", [s.label]))
+        for n, c in enumerate(columns, 1)
+    ]
+    counts = ", ".join(f"count({c}) AS n_{c}" for c in [*s.num, *s.cat, s.label])
+    loaded = CHECKS[f"k35_training_set_{segment}"]
+    return f"SELECT unnest([{', '.join(items)}], recursive := true) FROM (SELECT count(*) AS n, {counts} FROM (\n{loaded}\n) loaded) counted"
+
+
+for _segment in segments.SEGMENTS:
+
+    @query(f"l17_feature_lists_{_segment}", _contract_sql(_segment))
+    def _(t, segment=_segment):
+        return preprocess.column_contract(training_rows(t, segment), segments.spec(segment))
+
+
+@query(
+    "l04_model_map",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{s}' AS segment, '{s}_V3_5' AS model, '{segments.spec(s).label}' AS label, {len(segments.spec(s).num)} AS numbers,
+ {len(segments.spec(s).cat)} AS categories, count(*) AS "rows", count({segments.spec(s).label}) AS labelled
+FROM (\n{CHECKS[f"k35_training_set_{s}"]}\n) loaded"""
+        for s in segments.SEGMENTS
+    ),
+)
+def _(t):
+    return preprocess.model_map({segments.spec(s): rows for s, rows in _trained_on(t).items()})
+
+
 # Fitting ---------------------------------------------------------------------
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tamarind.ml.segments import MODEL_VERSION, SegmentSpec
+
 FEATURES = "features"
 
 
@@ -48,6 +51,38 @@ def column_statistics(df: DataFrame, num: Sequence[str], cat: Sequence[str]) ->
     return out.join(_most_frequent(df, cat), "column_name", "left")
 
 
+def column_contract(df: DataFrame, spec: SegmentSpec) -> DataFrame:
+    """One row per column that a segment's model reads or predicts: its kind, its
+    place in the list, and how many of the rows hold a value. One aggregate; a
+    column that ``df`` lacks is an error when the plan is built.
+    """
+    kinds = {"num": spec.num, "cat": spec.cat, "label": (spec.label,)}
+    listed = [(kind, n, c) for kind, columns in kinds.items() for n, c in enumerate(columns, 1)]
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n_{i}") for i, (_, _, c) in enumerate(listed)])
+    items = [
+        F.struct(
+            F.lit(spec.segment).alias("segment"), F.lit(c).alias("column_name"), F.lit(kind).alias("kind"),
+            F.lit(n).cast("long").alias("place"), F.col("rows"), F.col(f"n_{i}").alias("present"),
+        )
+        for i, (kind, n, c) in enumerate(listed)
+    ]
+    return wide.select(F.inline(F.array(*items)))
+
+
+def model_map(rows: Mapping[SegmentSpec, DataFrame]) -> DataFrame:
+    """One row per model: its segment, name, label, numbers of columns, and the
+    training rows it has, with and without a label."""
+    maps = [
+        df.agg(F.count(F.lit(1)).alias("rows"), F.count(s.label).alias("labelled")).select(
+            F.lit(s.segment).alias("segment"), F.lit(f"{s.segment}_{MODEL_VERSION[s.version]}").alias("model"),
+            F.lit(s.label).alias("label"), F.lit(len(s.num)).alias("numbers"), F.lit(len(s.cat)).alias("categories"),
+            "rows", "labelled",
+        )
+        for s, df in rows.items()
+    ]
+    return reduce(DataFrame.unionByName, maps)
+
+
 def _most_frequent(df: DataFrame, cat: Sequence[str]) -> DataFrame:
     """(column_name, most_frequent): numbers that are as frequent are compared as numbers."""
     values = [
