@@ -63,8 +63,9 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text."""
-        first = offsets[:-1][np.diff(offsets) > 0]
-        starts = np.union1d(self.cuts(data), first)
+        begins = np.zeros(len(data), bool)  # of a text or, behind a cut, of a piece
+        begins[self.cuts(data)] = begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(begins)
         if not len(starts):
             return self.ids[:0], np.zeros(len(offsets) - 1, np.int64)
         ends = np.append(starts[1:], len(data))

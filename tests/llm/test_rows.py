@@ -1,6 +1,7 @@
 """Token files, mixing, toxicity, tool calls and languages."""
 
 import json
+import time
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from tamarind.llm.token_files import scan_documents, token_counts
 from tamarind.llm.token_table import token_digests, write_tokens
 from tamarind.llm.tool_calls import SCHEMAS, canonical, errors_of, levels, link_calls
 from tamarind.llm.toxicity import drop_toxic, fit_rows, swapped, toxicity, _of_text
+from tamarind.llm.words import span_hashes
 from tamarind.llm.workspace import Workspace
 from tamarind.session import scratch_path
 
@@ -41,6 +43,30 @@ def test_encoder_equals_the_library(library):
         assert ids[a:b].tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_encoder_spends_little_on_finding_pieces():
+    """The pieces' beginnings cost no more than cutting, hashing and looking up, which depend on the machine as they do."""
+    words = np.random.default_rng(1).choice([f"word{i}" for i in range(500)], 130_000)
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    offsets = np.arange(0, len(data) + 1, 1000)
+    data = data[: offsets[-1]]
+    code = encoder(vocabulary_path())
+    code.encode(data, offsets)  # all pieces are known from here on
+
+    def seconds(fn):
+        spent = []
+        for _ in range(5):
+            start = time.process_time()
+            fn()
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    def parts():
+        starts = np.concatenate([[0], code.cuts(data)])
+        np.unique(span_hashes(data, starts, np.append(starts[1:], len(data))), return_index=True, return_inverse=True)
+
+    assert seconds(lambda: code.encode(data, offsets)) < 1.5 * seconds(parts)
+
+
 def test_token_table_round_trip(spark, docs, library):
     rows = [(i * 7 % 31, t) for i, t in enumerate(TEXTS * 3)]
     path = scratch_path(spark, "test-tokens")
