@@ -268,3 +268,73 @@ def test_labelled_findings_are_bounded_and_different(spark, docs):
     got = secrets.labelled_findings(docs(rows), sample=20).collect()
     assert {r.secret: sum(x.secret == r.secret for x in got) for r in got} == {0: 20, 1: 20}
     assert len({(bytes(r.left), bytes(r.body), bytes(r.right)) for r in got}) == 40
+
+
+def test_every_different_finding_is_learned_from(docs):
+    """More than 2000 of a label, and candidates longer than 256 bytes to their end."""
+    rows = [(i, f'token = "{i:032x}" beside word{i}.example.com') for i in range(2300)] + [(9999, "see " + "aB3" * 400 + " once"), (10_000, None)]
+    got = secrets.labelled_findings(docs(rows + rows[:300]).repartition(3)).collect()
+    assert sum(r.secret for r in got) == 2300 and len(got) == 2300 + 2301
+    assert len({(r.secret, bytes(r.left), bytes(r.body), bytes(r.right)) for r in got}) == len(got)
+    assert max(len(r.body) for r in got) == 1200
+
+
+def test_findings_in_shards_agree_whatever_the_partitions(docs, monkeypatch):
+    monkeypatch.setattr(secrets, "SHARD", 100)
+    turns, calibrate = [], secrets._calibrate
+    monkeypatch.setattr(secrets, "_calibrate", lambda net, apart, recall: turns.append(sum(r[3] for r in apart)) or calibrate(net, apart, recall))
+    rows = planted(400)
+    net, again = secrets.fit(docs(rows)), secrets.fit(docs(rows[::-1]).repartition(7))
+    assert (net.vectors == again.vectors).all() and (net.out == again.out).all() and net.thresholds == again.thresholds
+    assert 0.25 * 900 < turns[0] == turns[1] < 0.45 * 900
+    hidden = [(d, t.replace("token = ", "see ")) for d, t in planted(120, seed=9)]
+    found = [[hidden[r.doc_id][1][s.start : s.end] for s in r.spans] for r in secrets.secret_spans(docs(hidden), net).collect()]
+    secret = {re.search('"(.*?)"', t)[1] for _, t in hidden}
+    assert sum(any(x in secret for x in f) for f in found) >= 0.9 * len(hidden) and sum(x not in secret for f in found for x in f) <= 0.05 * len(hidden)
+
+
+def test_a_rare_label_reaches_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SHARD", 100)
+    code = lambda i: f"{i * 7919 % 10**9:09d}".encode()
+    rows = [(0, b"see ", code(i) + b".example.com", b" now") for i in range(900)] + [(1, b"key: ", b"Ab" + code(i) + b"XyZ", b" x") for i in range(12)]
+    net = secrets.fit(None, spark.createDataFrame(rows * 2, "secret int, left binary, body binary, right binary"))
+    assert min(net.scores([secrets.window(*r[1:]) for r in rows[900:]])) >= max(net.scores([secrets.window(*r[1:]) for r in rows[:900]]))
+
+
+def test_gradient_reads_long_candidates_whole(monkeypatch):
+    p, label = secrets._begin(), np.array([1, 0, 1])
+    windows = [secrets.window(b"ab", b"cD3" * 400, b"d"), secrets.window(b"", b"7F", b""), secrets.window(b"x", b"e" * 9, b"y")]
+    whole = secrets._gradient(p, windows, label)
+    monkeypatch.setattr(secrets, "TILE", 13)
+    monkeypatch.setattr(secrets, "BLOCK", 40)
+    tiled = secrets._gradient(p, windows, label)
+    assert all(np.allclose(whole[name], tiled[name]) for name in p)
+
+    def loss(out):
+        z = np.array([plain_logit(secrets._network({**p, "out": out}), w) for w in windows])
+        return np.mean(np.log1p(np.exp(-z * (2 * label - 1))))
+
+    step = np.eye(len(p["out"]))[3] * 1e-4
+    assert np.isclose(whole["out"][3], (loss(p["out"] + step) - loss(p["out"] - step)) / 2e-4, atol=1e-6)
+    assert whole["vectors"][256 + ord("D")].any() and not whole["vectors"][ord("D")].any()
+
+
+def test_calibration_of_separate_labels_stays_finite():
+    """Targets short of 0 and 1 bound the slope, so scores and thresholds keep their order."""
+    logits, secret, count = np.array([-9.0, -7.5, 6.0, 8.0, 9.0]), np.array([0, 0, 1, 1, 1]), np.array([700, 200, 30, 40, 50])
+    slope, offset = secrets._platt(logits, secret, count)
+    score = 1 / (1 + np.exp(-(slope * logits + offset)))
+    assert slope < 5 and (np.diff(score) > 0).all()
+    assert np.isclose(count @ score, 900 / 902 + 120 * 121 / 122, atol=1e-3)  # the curve's sum is that of the targets
+    net = secrets._calibrate(secrets._network(secrets._begin()), [(int(s), "hex", int(x * secrets.LOGIT_STEPS), int(n)) for x, s, n in zip(logits, secret, count)], 0.7)
+    assert net.thresholds["hex"] == net.thresholds[""] == net.calibrated(np.array([8 * secrets.LOGIT_STEPS]))[0]
+
+
+def test_long_findings_have_one_turn_in_a_pass(monkeypatch):
+    """Few findings come again and again, a long one doesn't, but it has its turn whole."""
+    windows = [secrets.window(b"a", b"x" * n, b"b") for n in (20, 30, 90_000, 40, 50, 70_000)]
+    seen, gradient = [], secrets._gradient
+    monkeypatch.setattr(secrets, "_gradient", lambda p, w, y: seen.extend(len(x) for x in w) or gradient(p, w, y))
+    secrets._learned(secrets._begin(), windows, np.array([0, 0, 0, 1, 1, 1]), 5, 8, [1])
+    assert len(seen) == 40 and [seen.count(len(w)) for w in (windows[2], windows[5])] == [1, 1]
+    assert min(seen.count(len(w)) for w in windows) == 1 and seen.count(len(windows[0])) > 5
