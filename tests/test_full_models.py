@@ -12,6 +12,7 @@ from tamarind.ml import learners, metrics, registry, score, segments, train
 from tamarind.ml.preprocess import FEATURES
 from tamarind.ml.segments import SegmentSpec
 from tamarind.ml.together import together
+from tamarind.session import cut_lineage
 
 TREES = (("maxIter", 16), ("maxDepth", 2), ("stepSize", 0.3), ("maxBins", 32))
 
@@ -175,3 +176,29 @@ def test_registered_fits_cover_every_segment_with_real_settings(spark, name, mon
     if name.startswith(("l12_", "l15_", "a15_")):
         each = {"l15_predictions_by_cohort": 2, "a15_backfill_predictions": 3}.get(name, 1)
         assert {s for s, _ in sets} == set(segments.SEGMENTS) and all(len(v) == each for v in sets.values())
+
+
+def test_measurements_side_by_side_do_not_wait_for_each_other(spark):
+    """Scalar subqueries inside scalar subqueries, of more measurements than the session has subquery threads (16), never end."""
+    rows = cut_lineage(noisy(spark, 60).selectExpr("x AS pred", "total_subtotal_month AS actual"), "points")
+    measured = metrics.agreement(rows)
+    assert "scalar-subquery" not in measured._jdf.queryExecution().toString()
+    found = together(spark, {n: metrics.agreement(rows).first for n in range(20)}, at_once=20)
+    assert {r.rows for r in found.values()} == {60} and len({round(r.kendall, 9) for r in found.values()}) == 1
+
+
+def test_order_value_sets_share_their_lookbacks(spark, monkeypatch):
+    """Search lookbacks are found once for each kind of merchants, whatever the number of versions and segments."""
+    from queryset import models
+    from queryset.views import GivenTables
+
+    kinds = []
+    whole = models.search.training_lookbacks
+    monkeypatch.setattr(models.search, "training_lookbacks", lambda t, kind: kinds.append(kind) or whole(t, kind))
+    monkeypatch.setattr(models, "_aov_labelled", lambda t, kind: (getattr(t, f"aov_label_{kind}"), None))
+    t = GivenTables(spark, "/root/testdata/sf0.001")
+    sets = models.AovSets(t, "v0", "v2").of("train", "v2")
+    assert sorted(kinds) == ["danp", "nn"]
+    for s, rows in sets.items():
+        alone = models.assembly.aov_training_set(t, s, "v2", models.q_assembly.AOV_AFTER)
+        assert rows.columns == alone.columns and rows.exceptAll(alone).isEmpty() and alone.exceptAll(rows).isEmpty()
