@@ -1,12 +1,14 @@
 """Reruns, shared folders and windows without counts."""
 
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
 from moments import day
 from pyspark.sql import functions as F
 
+from tamarind import session
 from tamarind.operators.asof import pair_in_window
 from tamarind.plans import search
 from tamarind.session import shared_dir
@@ -115,3 +117,64 @@ def test_window_joins_bound_the_facts(spark, tmp_path):
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     scan = next(x for x in plan.splitlines() if "FileScan" in x)
     assert "PartitionFilters: [isnotnull(d" in scan and "ubquery" in scan
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {str(blocks.apply(i)) for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle_")}
+
+
+def test_shuffles_go_with_their_query(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).agg(F.count("id").alias("n")).groupBy("n").agg(F.max("k"))
+    former = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        before = _shuffle_files(spark)
+        with session.shuffles_dropped(spark):
+            assert session.cut_lineage(rows, "t").count() == 1
+        end = time.time() + 20
+        while (left := _shuffle_files(spark) - before) and time.time() < end:
+            time.sleep(0.2)
+        assert not left and spark.conf.get(key) == "false"
+    finally:
+        spark.conf.unset(key) if former is None else spark.conf.set(key, former)
+
+
+def test_views_are_written_once(spark, monkeypatch):
+    from queryset import views
+
+    labels, write = [], views.cut_lineage
+    monkeypatch.setattr(views, "cut_lineage", lambda df, label: labels.append(label) or write(df, label))
+    t = views.GivenTables(spark, "/root/testdata/sf0.001").written("deliveries")
+    again = t.written("deliveries", "store_requests").written("store_requests")
+    assert labels == ["deliveries", "store_requests"]
+    assert again.store_requests.count() == t.store_requests.count() and again.deliveries.count() == t.deliveries.count()
+    t.with_frames(deliveries=t.deliveries.limit(5)).written("deliveries")
+    assert labels == ["deliveries", "store_requests", "deliveries"]
+
+
+def test_steps_of_request_features_are_deleted(spark):
+    from queryset import views
+    from tamarind.operators.snapshot import latest_load
+    from tamarind.plans import requests
+
+    t = views.GivenTables(spark, "/root/testdata/sf0.001")
+    here = set(os.listdir(session.shared_dir(spark)))
+    rows = requests.request_features(t, latest_load(t.label_nn), "store_activation_date", requests.TRAIN)
+    left = {p.rsplit("-", 1)[0] for p in set(os.listdir(session.shared_dir(spark))) - here}
+    assert "request-totals" in left and not left & {"requests", "prior-orders"}
+    assert rows.where("num_requests_all_time > 0").count() > 0
+
+
+def test_scoring_sets_follow_the_training_rows(spark, monkeypatch):
+    """Both read all facts: side by side they would hold the shuffles of both."""
+    from queryset import models
+
+    seen, table = [], SimpleNamespace(deliveries=spark.range(1))
+    table.written = lambda *names: table
+    monkeypatch.setattr(models, "_registry", lambda t: None)
+    monkeypatch.setattr(models, "_trained_on", lambda t: time.sleep(0.5) or seen.append("rows") or "rows")
+    monkeypatch.setattr(models, "_scored", lambda t, *days: seen.append("sets") or days)
+    _, sets = models._trained_and_scored(table, lambda reg, rows: seen.append(rows), "1998-06-01")
+    assert sets == ("1998-06-01",) and seen[0] == "rows" and sorted(seen[1:]) == ["rows", "sets"]
