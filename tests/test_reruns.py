@@ -178,3 +178,30 @@ def test_scoring_sets_follow_the_training_rows(spark, monkeypatch):
     monkeypatch.setattr(models, "_scored", lambda t, *days: seen.append("sets") or days)
     _, sets = models._trained_and_scored(table, lambda reg, rows: seen.append(rows), "1998-06-01")
     assert sets == ("1998-06-01",) and seen[0] == "rows" and sorted(seen[1:]) == ["rows", "sets"]
+
+
+def test_scoring_sets_of_many_days_share_their_inputs(spark, monkeypatch):
+    """Searches, vendors' features and closings are found once, not for each day and segment; the rows stay the same."""
+    from queryset import assembly, models, views
+    from tamarind.plans import population
+
+    written, write, days = [], session.cut_lineage, ("1998-06-01", "1998-06-08")
+
+    def counted(df, label="stage", path=None):
+        written.append(label)
+        return write(df, label, path)
+
+    for module in (models, models.vendor, population):
+        monkeypatch.setattr(module, "cut_lineage", counted)
+    t = views.GivenTables(spark, "/root/testdata/sf0.001")
+    sets = models._scored(t, *days)
+    assert written.count("search") == 2 and written.count("vendor-features") == 1 and written.count("closings") == 1
+    assert written.count("scoring") == 6
+    for s in ("nn", "da"):
+        got, alone = sets[days[1], s], assembly.scoring(t, s, None, days[1])
+        assert got.columns == alone.columns and got.count() == alone.count() > 0
+        same = [c for c, kind in got.dtypes if kind != "double"]
+        assert got.select(*same).exceptAll(alone.select(*same)).isEmpty()
+        for c in [c for c, kind in got.dtypes if kind == "double"]:
+            a, b = (df.agg(F.count(c), F.sum(c)).first() for df in (got, alone))
+            assert a[0] == b[0] and a[1] == pytest.approx(b[1])
